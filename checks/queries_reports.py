@@ -17,7 +17,7 @@ ZIP, YEAR, MONTH = "07003", 1998, 3
 
 add(
     "agg_count_rows",
-    lambda d: d.transactions.agg(F.count(F.lit(1)).alias("row_count")),
+    lambda d: profile.row_totals(d.transactions),
     "select count(*) as row_count from tx",
 )
 add(

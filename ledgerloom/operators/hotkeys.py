@@ -2,8 +2,8 @@
 
 A plain shuffle join sends all rows of a key to one task, and adaptive skew
 splitting does not apply when one side is itself an aggregate. Keys that hold more
-than one row in a thousand are therefore joined by broadcast, without a shuffle of
-their rows; there can be at most 999 of them, whatever the size of the table.
+than a thousandth of the rows in question are therefore joined by broadcast, without a
+shuffle of their rows; there can be at most 999 of them, whatever the size of the table.
 All other keys are small by definition and go through an ordinary join.
 """
 
@@ -22,7 +22,7 @@ def row_count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
-def _null_safe(left: list[str], right: list[str]) -> Column:
+def null_safe_match(left: list[str], right: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
 
@@ -33,19 +33,23 @@ def attach_by_key(
     values: list[str],
     weight: str,
     how: str = "left",
+    total: Column | None = None,
 ) -> DataFrame:
     """Add the ``values`` columns of ``per_key`` (one row per key) to the rows of ``df``.
 
     ``weight`` is the column of ``per_key`` with the number of rows that key has in
-    ``df``. Null keys match null keys. ``how`` is ``left`` or ``inner``.
+    ``df``, ``total`` their sum unless that is cheaper to get in another way. Null keys
+    match null keys. ``how`` is ``left`` or ``inner``.
     """
     key_names = [f"__key_{i}" for i in range(len(keys))]
     table = per_key.select(
         *[F.col(k).alias(n) for k, n in zip(keys, key_names)], *values, F.col(weight).alias("__weight")
     )
-    is_hot = F.col("__weight") * HOT_KEY_PARTS > row_count(df)
+    if total is None:
+        total = table.agg(F.sum("__weight")).scalar()
+    is_hot = F.col("__weight") * HOT_KEY_PARTS > total
     hot, cold = table.filter(is_hot), table.filter(~is_hot)
-    on = _null_safe(keys, key_names)
+    on = null_safe_match(keys, key_names)
     columns = [*df.columns, *values]
     hot_rows = df.join(F.broadcast(hot), on, "inner").select(columns)
     other_rows = df.join(F.broadcast(hot.select(key_names)), on, "left_anti")

@@ -1,4 +1,4 @@
-"""Table profiles. Each function is one pass over the table, whatever its width."""
+"""Table profiles: every column is measured in the same pass over the table."""
 
 from __future__ import annotations
 
@@ -9,79 +9,77 @@ from pyspark.sql import types as T
 from ledgerloom.functions.predicates import is_missing
 
 
-def _measure(df: DataFrame, columns: list[str] | None, measures: dict, whole_table: dict | None = None) -> DataFrame:
-    """One aggregation over ``df``, turned into one row for each column.
+def _as_number(df: DataFrame, column: str) -> Column:
+    """A column as a number for mean and deviation; text that is no number is ignored."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, (T.NumericType, T.StringType)):
+        return F.col(column).try_cast("double")
+    return F.lit(None).cast("double")
 
-    ``whole_table`` measures are computed once and repeated on every row.
-    """
-    columns = columns or df.columns
-    whole_table = whole_table or {}
+
+def _one_row_per_column(df: DataFrame, columns: list[str], measures: dict) -> DataFrame:
+    """One global aggregation, whose single row becomes one row for each column."""
     aggregates = [build(c).alias(f"{c}__{m}") for c in columns for m, build in measures.items()]
-    aggregates += [value.alias(f"__{name}") for name, value in whole_table.items()]
     rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            *[F.col(f"{c}__{m}").alias(m) for m in measures],
-            *[F.col(f"__{name}").alias(name) for name in whole_table],
-        )
-        for c in columns
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}__{m}`").alias(m) for m in measures]) for c in columns
     ]
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def _missing(column: str) -> Column:
-    return F.count_if(is_missing(F.col(column)))
-
-
-def _numeric(df: DataFrame):
-    """A column as a number for mean and deviation; text that is no number is ignored."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-
-    def value(column: str) -> Column:
-        dtype = types[column]
-        if isinstance(dtype, (T.NumericType, T.StringType)):
-            return F.col(column).try_cast("double")
-        return F.lit(None).cast("double")
-
-    return value
+def missing_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Null or empty values of each column."""
+    measures = {"missing": lambda c: F.count_if(is_missing(F.col(c)))}
+    return _one_row_per_column(df, columns or df.columns, measures)
 
 
-def _description(df: DataFrame) -> dict:
-    number = _numeric(df)
-    return {
+def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Filled values, mean, deviation, lowest and highest of each column."""
+    measures = {
         "filled": lambda c: F.count(c),
-        "mean": lambda c: F.avg(number(c)),
-        "stddev": lambda c: F.stddev(number(c)),
+        "mean": lambda c: F.avg(_as_number(df, c)),
+        "stddev": lambda c: F.stddev(_as_number(df, c)),
         "lowest": lambda c: F.min(c).cast("string"),
         "highest": lambda c: F.max(c).cast("string"),
     }
+    return _one_row_per_column(df, columns or df.columns, measures)
 
 
-def missing_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Null or empty values of each column."""
-    return _measure(df, columns, {"missing": _missing})
+def _values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row for each cell: column name and value as text."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
 
 
-def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Filled values, mean, deviation, lowest and highest of each column."""
-    return _measure(df, columns, _description(df))
+def distinct_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Distinct non-null values of each column.
 
+    Cells are narrow rows with one distinct aggregate over them. Several distinct
+    aggregates side by side would copy the whole row once for each column.
+    """
+    cells = _values(df, columns or df.columns)
+    return cells.groupBy("column_name").agg(F.countDistinct("value").alias("distinct_values"))
 
-def distinct_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Distinct non-null values of each column."""
-    return _measure(df, columns, {"distinct_values": lambda c: F.countDistinct(c)})
+
+def row_totals(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
+    return row_totals(df.distinct()).withColumnRenamed("row_count", "distinct_rows")
 
 
 def one_to_one(df: DataFrame, left: str, right: str) -> DataFrame:
-    """Distinct values of two columns and of their pairs, and whether all three agree."""
-    counts = df.agg(
-        F.countDistinct(left).alias("left_values"),
-        F.countDistinct(right).alias("right_values"),
-        F.countDistinct(F.struct(left, right)).alias("pairs"),
+    """Distinct values of two columns and of their pairs, and whether all three agree.
+
+    Pairs are counted first, so the values are counted over distinct pairs only.
+    """
+    counts = (
+        df.select(left, right)
+        .distinct()
+        .agg(
+            F.countDistinct(left).alias("left_values"),
+            F.countDistinct(right).alias("right_values"),
+            F.count(F.lit(1)).alias("pairs"),
+        )
     )
     same = (F.col("left_values") == F.col("pairs")) & (F.col("right_values") == F.col("pairs"))
     return counts.withColumn("one_to_one", same)
@@ -89,13 +87,34 @@ def one_to_one(df: DataFrame, left: str, right: str) -> DataFrame:
 
 def profile_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """All of the above for each column, with the table's row and distinct-row counts."""
-    measures = {
-        **_description(df),
-        "missing": _missing,
-        "distinct_values": lambda c: F.countDistinct(c),
-    }
-    whole_table = {
-        "table_rows": F.count(F.lit(1)),
-        "table_distinct_rows": F.countDistinct(F.struct(*df.columns)),
-    }
-    return _measure(df, columns, measures, whole_table)
+    columns = columns or df.columns
+    types = {f.name: f.dataType for f in df.schema.fields}
+    whole = [c for c in columns if isinstance(types[c], T.IntegralType)]
+    real = [c for c in columns if isinstance(types[c], T.NumericType) and c not in whole]
+    numeric_or_text = [c for c in columns if isinstance(types[c], (T.NumericType, T.StringType))]
+    name, value = F.col("column_name"), F.col("value")
+    number = F.when(name.isin(numeric_or_text), value.try_cast("double"))
+
+    def extreme(pick) -> Column:
+        """Least or greatest value in the order of the column's own type."""
+        return F.coalesce(
+            pick(F.when(name.isin(whole), value.try_cast("long"))).cast("string"),
+            pick(F.when(name.isin(real), value.try_cast("double"))).cast("string"),
+            pick(F.when(~name.isin(whole + real), value)),
+        )
+
+    return (
+        _values(df, columns)
+        .groupBy("column_name")
+        .agg(
+            F.count("value").alias("filled"),
+            F.avg(number).alias("mean"),
+            F.stddev(number).alias("stddev"),
+            extreme(F.min).alias("lowest"),
+            extreme(F.max).alias("highest"),
+            F.count_if(is_missing(value)).alias("missing"),
+            F.countDistinct("value").alias("distinct_values"),
+            F.count(F.lit(1)).alias("table_rows"),
+        )
+        .withColumn("table_distinct_rows", distinct_rows(df).scalar())
+    )

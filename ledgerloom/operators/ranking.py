@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.hotkeys import _null_safe, attach_by_key
+from ledgerloom.operators.hotkeys import attach_by_key, null_safe_match, row_count
 
 
 def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> DataFrame:
@@ -31,10 +31,10 @@ def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> Da
         F.coalesce(F.sum("__head_n").over(over_heads), F.lit(0)).alias("__before_head"),
     )
     within_head = pairs.withColumn("__before_pair", F.coalesce(F.sum("__n").over(over_pairs), F.lit(0)))
-    ranked = within_head.join(before_head, _null_safe([group, "__head"], ["__group", "__head_key"])).select(
+    ranked = within_head.join(before_head, null_safe_match([group, "__head"], ["__group", "__head_key"])).select(
         group, order, "__n", (F.lit(1) + F.col("__before_head") + F.col("__before_pair")).alias(name)
     )
-    return attach_by_key(df, ranked, [group, order], [name], weight="__n")
+    return attach_by_key(df, ranked, [group, order], [name], weight="__n", total=row_count(df))
 
 
 def rank_exceeds_one(df: DataFrame, group: str, order: str, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cleaning import time_id_month, time_id_to_date
+from ledgerloom.functions.cleaning import TIME_ID_FORMAT, time_id_month, time_id_to_date
 from ledgerloom.functions.labels import currency_label, month_name, state_name, thousands_label
 from ledgerloom.functions.predicates import all_equal, equals_ignoring_case
 from ledgerloom.operators.hotkeys import broadcast_if_at_most
@@ -206,36 +206,41 @@ def approval_comparison(loans: DataFrame) -> DataFrame:
 # ---- cards, bills and statements -----------------------------------------------------
 
 
-def daily_totals(transactions: DataFrame, customers: DataFrame, branches: DataFrame) -> DataFrame:
-    """Spending by customer, branch ZIP and day over the whole table.
+HOLDER = ["SSN", "FIRST_NAME", "LAST_NAME", "CREDIT_CARD_NO"]
 
-    Amounts are fully aggregated before customers are joined. Should the customer table
-    hold copies of a row, its total counts once for each copy, as a plain join would give.
-    """
-    zips = branches.select("BRANCH_CODE", "BRANCH_ZIP")
-    by_zip = (
-        transactions.groupBy("CREDIT_CARD_NO", "BRANCH_CODE", "TIMEID")
+
+def _spending_by_day(located: DataFrame) -> DataFrame:
+    """Total by card, branch ZIP and day of transactions that carry their ``BRANCH_ZIP``."""
+    return (
+        located.groupBy("CREDIT_CARD_NO", "BRANCH_ZIP", "TIMEID")
         .agg(exact_sum("TRANSACTION_VALUE").alias("total"))
-        .join(zips, "BRANCH_CODE")
         .withColumn("transaction_date", time_id_to_date(F.col("TIMEID")))
-        .groupBy("CREDIT_CARD_NO", "BRANCH_ZIP", "transaction_date")
-        .agg(F.sum("total").alias("total"))
     )
-    holders = customers.groupBy("SSN", "FIRST_NAME", "LAST_NAME", "CREDIT_CARD_NO").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
-    return by_zip.join(holders, "CREDIT_CARD_NO").select(
-        "SSN",
-        "FIRST_NAME",
-        "LAST_NAME",
-        "CREDIT_CARD_NO",
+
+
+def _daily_columns(df: DataFrame) -> DataFrame:
+    return df.select(
+        *HOLDER,
         "BRANCH_ZIP",
         "transaction_date",
         F.dayofmonth("transaction_date").alias("transaction_day"),
-        (F.col("total") * F.col("copies")).cast("double").alias("total_transaction_value"),
+        as_amount("total").alias("total_transaction_value"),
     )
 
 
+def daily_totals(transactions: DataFrame, customers: DataFrame, branches: DataFrame) -> DataFrame:
+    """Spending by customer, branch ZIP and day over the whole table.
+
+    Customers are grouped on their own side rather than after the join: nothing then
+    relies on the partitioning by card, and AQE is free to split a card with very many
+    rows. Copies of a customer row count once each, as in a plain join.
+    """
+    located = transactions.join(branches.select("BRANCH_CODE", "BRANCH_ZIP"), "BRANCH_CODE")
+    holders = customers.groupBy(*HOLDER).agg(F.count(F.lit(1)).alias("copies"))
+    spending = _spending_by_day(located).join(holders, "CREDIT_CARD_NO")
+    return _daily_columns(spending.withColumn("total", F.col("total") * F.col("copies")))
+
+
 def daily_totals_for_zip(
     transactions: DataFrame, customers: DataFrame, branches: DataFrame, zip_code: str, year: int, month: int
 ) -> DataFrame:
@@ -245,12 +250,13 @@ def daily_totals_for_zip(
     says so, which drops other branches' transactions before any shuffle.
     """
     here = branches.select("BRANCH_CODE", "BRANCH_ZIP").filter(F.col("BRANCH_ZIP") == zip_code)
-    monthly = in_month(transactions, year, month)
-    codes = broadcast_if_at_most(here.select("BRANCH_CODE").distinct(), BRANCH_BROADCAST_ROWS)
-    local = monthly.join(codes, "BRANCH_CODE", "left_semi")
-    return daily_totals(local, customers, here).orderBy(
-        F.desc("transaction_date"), F.desc("transaction_day"), "CREDIT_CARD_NO", "SSN"
+    located = in_month(transactions, year, month).join(
+        broadcast_if_at_most(here, BRANCH_BROADCAST_ROWS), "BRANCH_CODE"
     )
+    spending = _spending_by_day(located).join(customers.select(*HOLDER), "CREDIT_CARD_NO")
+    totals = spending.groupBy(*HOLDER, "BRANCH_ZIP", "transaction_date").agg(F.sum("total").alias("total"))
+    newest_first = [F.desc("transaction_date"), F.desc("transaction_day"), "CREDIT_CARD_NO", "SSN"]
+    return _daily_columns(totals).orderBy(*newest_first)
 
 
 def card_count(transactions: DataFrame, card: str) -> DataFrame:
@@ -314,45 +320,52 @@ def card_transactions(transactions: DataFrame, card: str, first: dt.date, last:
 def card_statements(requests: DataFrame, transactions: DataFrame) -> DataFrame:
     """Statements for a table of requests (``CREDIT_CARD_NO``, ``first_date``, ``last_date``).
 
-    Each request gets its transactions in the period with ``outcome`` ``found``; or else one row
-    with ``no_transactions`` if the card has none at all, or ``outside_range`` together with
-    the card's first and last date. Dates of a card are aggregated before they meet the
-    requests, and only requests without a match go on to that second question.
+    Each distinct request gets its transactions in the period with ``outcome`` ``found``; or
+    else one row with ``no_transactions`` if the card has none at all, or ``outside_range``
+    together with the card's first and last date. Which it is follows from the distinct days
+    of a card, so that question never meets a card's transactions one by one. Grouping by
+    the request as a whole keeps the join free of a required partitioning, and AQE can
+    split a card with very many requests.
     """
-    asked = requests.select("CREDIT_CARD_NO", "first_date", "last_date").distinct()
-    dated = transactions.withColumn("transaction_date", time_id_to_date(F.col("TIMEID")))
-    inside = F.col("transaction_date").between(F.col("first_date"), F.col("last_date"))
-    no_date = F.lit(None).cast("date")
-    found = asked.join(dated, "CREDIT_CARD_NO").filter(inside).select(
+    asked = requests.select(
         "CREDIT_CARD_NO",
-        "first_date",
-        "last_date",
+        F.struct("CREDIT_CARD_NO", "first_date", "last_date").alias("request"),
+        F.date_format("first_date", TIME_ID_FORMAT).alias("__first"),
+        F.date_format("last_date", TIME_ID_FORMAT).alias("__last"),
+    ).distinct()
+    inside = F.col("TIMEID").between(F.col("__first"), F.col("__last"))
+    day = time_id_to_date(F.col("TIMEID"))
+
+    own = transactions.select("CREDIT_CARD_NO", "TIMEID", "TRANSACTION_TYPE", "TRANSACTION_VALUE")
+    found = asked.join(own, "CREDIT_CARD_NO").filter(inside).withColumn("transaction_date", day)
+    found = found.filter(F.col("transaction_date").isNotNull()).select(
+        "request.*",
         F.lit("found").alias("outcome"),
         "transaction_date",
         "TRANSACTION_TYPE",
         "TRANSACTION_VALUE",
-        no_date.alias("card_first_date"),
-        no_date.alias("card_last_date"),
+        F.lit(None).cast("date").alias("card_first_date"),
+        F.lit(None).cast("date").alias("card_last_date"),
     )
 
-    days = dated.select("CREDIT_CARD_NO", "transaction_date").distinct()
-    matched = asked.join(days, "CREDIT_CARD_NO").filter(inside).select(*asked.columns).distinct()
-    ranges = days.groupBy("CREDIT_CARD_NO").agg(
-        F.min("transaction_date").alias("card_first_date"), F.max("transaction_date").alias("card_last_date")
-    )
-    empty = (
-        asked.join(matched, asked.columns, "left_anti")
-        .join(ranges.withColumn("__known", F.lit(True)), "CREDIT_CARD_NO", "left")
-        .select(
-            "CREDIT_CARD_NO",
-            "first_date",
-            "last_date",
-            F.when(F.col("__known"), "outside_range").otherwise("no_transactions").alias("outcome"),
-            no_date.alias("transaction_date"),
-            F.lit(None).cast("string").alias("TRANSACTION_TYPE"),
-            F.lit(None).cast("double").alias("TRANSACTION_VALUE"),
-            "card_first_date",
-            "card_last_date",
+    days = transactions.select("CREDIT_CARD_NO", "TIMEID").distinct().withColumn("day", day)
+    summary = (
+        asked.join(days, "CREDIT_CARD_NO", "left")
+        .groupBy("request")
+        .agg(
+            F.count("TIMEID").alias("days"),
+            F.count_if(inside & F.col("day").isNotNull()).alias("days_inside"),
+            F.min("day").alias("card_first_date"),
+            F.max("day").alias("card_last_date"),
         )
     )
+    empty = summary.filter(F.col("days_inside") == 0).select(
+        "request.*",
+        F.when(F.col("days") > 0, "outside_range").otherwise("no_transactions").alias("outcome"),
+        F.lit(None).cast("date").alias("transaction_date"),
+        F.lit(None).cast("string").alias("TRANSACTION_TYPE"),
+        F.lit(None).cast("double").alias("TRANSACTION_VALUE"),
+        "card_first_date",
+        "card_last_date",
+    )
     return found.unionByName(empty)
