@@ -36,7 +36,10 @@ def read_loans(spark: SparkSession, path: str, multiline: bool = False) -> DataF
 
 
 def read_loans_with_rejects(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """As ``read_loans``, but broken records are kept as text in ``_corrupt_record``."""
+    """As ``read_loans``, but broken records are kept as text in ``_corrupt_record``.
+
+    Store the full rows before asking for rejects: Spark checks only columns a query reads.
+    """
     schema = T.StructType([*schemas.LOAN.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(schema)

@@ -1,0 +1,192 @@
+"""Load jobs from files to tables: multi-line JSON, headerless CSV, typed appends, reruns."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom import schemas
+from ledgerloom.plans import loads, reports
+from ledgerloom.session import new_path, shared_folder
+from ledgerloom.sources import readers, writers
+from tests.helpers import final_plan, rows
+
+BRANCHES = [
+    {"BRANCH_CODE": 1, "BRANCH_NAME": "Example Bank", "BRANCH_STREET": "Main", "BRANCH_CITY": "ElPaso",
+     "BRANCH_STATE": "NJ", "BRANCH_ZIP": 7501, "BRANCH_PHONE": "1234565276",
+     "LAST_UPDATED": "2018-04-18T16:51:47.000-04:00"},
+    {"BRANCH_CODE": 2, "BRANCH_NAME": "Example Bank", "BRANCH_STREET": "Oak", "BRANCH_CITY": "Dover",
+     "BRANCH_STATE": "TX", "BRANCH_ZIP": 70101, "BRANCH_PHONE": "123", "LAST_UPDATED": "n/a"},
+]
+
+
+def customer(card, ssn, first, middle, last, email, zip_code="07501"):
+    return {
+        "CREDIT_CARD_NO": card, "SSN": ssn, "CUST_EMAIL": email, "CUST_PHONE": 1237818, "FIRST_NAME": first,
+        "MIDDLE_NAME": middle, "LAST_NAME": last, "APT_NO": "656", "STREET_NAME": "Main", "CUST_CITY": "ElPaso",
+        "CUST_ZIP": zip_code, "CUST_STATE": "NJ", "CUST_COUNTRY": "United States",
+        "LAST_UPDATED": "2018-04-21T12:49:02.000-04:00",
+    }
+
+
+def transaction(number, card, year, month, day, value, branch=1, kind="Bills"):
+    return {
+        "TRANSACTION_ID": number, "CREDIT_CARD_NO": card, "DAY": day, "MONTH": month, "YEAR": year, "CUST_SSN": 9,
+        "BRANCH_CODE": branch, "TRANSACTION_TYPE": kind, "TRANSACTION_VALUE": value,
+    }
+
+
+LOANS = [
+    {"Application_ID": "LP1", "Application_Status": "Y", "Credit_History": 1, "Dependents": "0", "Education": "Graduate",
+     "Gender": "Male", "Income": "low", "Married": "No", "Property_Area": "Urban", "Self_Employed": "No"},
+    {"Application_ID": "LP2", "Application_Status": "N", "Credit_History": None, "Dependents": "3+",
+     "Education": "Graduate", "Gender": "Female", "Income": "high", "Married": "Yes", "Property_Area": "Rural",
+     "Self_Employed": "Yes"},
+]
+
+
+def pretty_file(tmp_path, name, records):
+    path = tmp_path / name
+    path.write_text(json.dumps(records, indent=2))
+    return str(path)
+
+
+def lines_file(tmp_path, name, records):
+    path = tmp_path / name
+    path.write_text("\n".join(json.dumps(r) for r in records))
+    return str(path)
+
+
+def test_branches(spark, tmp_path):
+    feed, target = pretty_file(tmp_path, "branch.json", BRANCHES), str(tmp_path / "branch")
+    loads.load_branches(spark, feed, target)
+    stored = readers.read_table(spark, target)
+    assert stored.columns == schemas.BRANCH.names
+    stored = stored.withColumn("LAST_UPDATED", F.date_format("LAST_UPDATED", "yyyy-MM-dd HH:mm:ss"))
+    assert rows(stored) == [
+        (1, "Example Bank", "Main", "El Paso", "NJ", "07501", "(123)456-5276", "2018-04-18 20:51:47"),
+        (2, "Example Bank", "Oak", "Dover", "TX", "70101", "Invalid phone number length", None),
+    ]
+    loads.load_branches(spark, feed, target)
+    assert readers.read_table(spark, target).count() == 4
+    writers.append_new_rows(readers.read_table(spark, target).limit(0), target, ["BRANCH_CODE"])
+    cleaned = loads.clean_branches(readers.read_json_records(spark, feed, schemas.BRANCH_FEED))
+    writers.append_new_rows(cleaned, target, ["BRANCH_CODE"])
+    assert readers.read_table(spark, target).count() == 4
+
+
+def test_transactions_are_partitioned_pruned_and_rerunnable(spark, tmp_path):
+    data = [transaction(i, "c1", 2018, 1 + i % 12, 1 + i % 28, 10.0 + i) for i in range(100)]
+    feed, target = pretty_file(tmp_path, "credit.json", data), str(tmp_path / "credit")
+    loads.load_transactions(spark, feed, target)
+    first = rows(readers.read_table(spark, target))
+    loads.load_transactions(spark, feed, target)
+    stored = readers.read_table(spark, target)
+    assert rows(stored) == first and len(first) == 100
+
+    march = reports.in_month(stored, 2018, 3)
+    assert {r["TIMEID"][:6] for r in march.collect()} == {"201803"}
+    assert march.count() == sum(1 for t in data if t["MONTH"] == 3)
+    plan = final_plan(march)
+    assert "PartitionFilters: [isnotnull(TXN_MONTH" in plan
+    assert "GreaterThanOrEqual(TIMEID,20180301)" in plan and "LessThanOrEqual(TIMEID,20180331)" in plan
+
+
+CROSSWALK = [
+    "07501,NJ,Paterson,Passaic,973/862,5,Y",
+    "07501,NJ,Paterson,Passaic,201,5,Y",
+    "10001,NY,New York,New York,212,5,Y",
+]
+
+
+def test_customers(spark, tmp_path):
+    data = [
+        customer("c1", 1, "Alec", "Wm", "Mckinney", "AMckinney@example.com"),
+        customer("c2", 2, "Amy", "Zed", "Mckinney", "AMckinney@example.com"),
+        customer("c3", 3, "Ann", "Zed", "Mckinney", "AMckinney@example.com"),
+        customer("c4", 4, None, "Zed", "Mckinney", "AMckinney@example.com"),
+        customer("c5", 5, "Beth", None, "Hooper", "BHooper@example.com", "99999"),
+        customer("c5", 6, "Carl", None, "Hooper", "CHooper@example.com", "10001"),
+    ]
+    feed, target = pretty_file(tmp_path, "customer.json", data), str(tmp_path / "customer")
+    crosswalk = tmp_path / "zips.csv"
+    crosswalk.write_text("\n".join(CROSSWALK))
+    loads.load_customers(spark, feed, str(crosswalk), target)
+    stored = readers.read_table(spark, target)
+    assert stored.columns == schemas.CUSTOMER.names
+    by_card = {r["CREDIT_CARD_NO"]: r for r in stored.collect()}
+    assert stored.count() == len(by_card) == 5
+    assert {c: r["CUST_EMAIL"] for c, r in by_card.items()} == {
+        "c1": "AMckinney@example.com",
+        "c2": "AZMckinney@example.com",  # from the surname as delivered
+        "c3": "AZMckinney@example.com",  # a tie on the middle name is not resolved
+        "c4": "AMckinney@example.com",  # no first name: the old address stays
+        "c5": "BHooper@example.com",
+    }
+    one = by_card["c1"]
+    assert (one["LAST_NAME"], one["MIDDLE_NAME"], one["CUST_CITY"]) == ("McKinney", "wm", "El Paso")
+    assert (one["FULL_STREET_ADDRESS"], one["CUST_PHONE"]) == ("656 Main", "(201)123-7818")
+    assert by_card["c5"]["SSN"] == 5 and by_card["c5"]["CUST_PHONE"] is None
+
+    raw = readers.read_json_records(spark, feed, schemas.CUSTOMER_FEED)
+    kept = loads.clean_customers(raw, readers.read_crosswalk(spark, str(crosswalk)), keep_unmatched=True)
+    assert kept.filter("SSN = 5").first()["CUST_PHONE"] == "1237818"
+
+    first = rows(stored)
+    loads.load_customers(spark, feed, str(crosswalk), target)
+    assert rows(readers.read_table(spark, target)) == first
+
+
+def test_loans(spark, tmp_path):
+    feed = lines_file(tmp_path, "loans.json", LOANS)
+    path = new_path(spark, "loans")
+    loads.load_loans(spark, feed, "loan_test", path)
+    stored = spark.table("loan_test")
+    assert stored.schema.fieldNames() == schemas.LOAN.names and stored.count() == 2
+    assert rows(stored) == rows(readers.read_loans(spark, feed))
+    loads.load_loans(spark, feed, "loan_test", path)
+    assert spark.table("loan_test").count() == 4
+    array = pretty_file(tmp_path, "array.json", LOANS)
+    assert rows(readers.read_loans(spark, array, multiline=True)) == rows(readers.read_loans(spark, feed))
+    with pytest.raises(ValueError):
+        writers.ensure_table(spark, "loan_test", schemas.BRANCH)
+    spark.sql("DROP TABLE loan_test")
+
+
+def test_loan_of_the_wrong_type_fails_or_is_kept_as_a_reject(spark, tmp_path):
+    feed = lines_file(tmp_path, "loans.json", [LOANS[0], {**LOANS[1], "Credit_History": "often"}])
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        readers.read_loans(spark, feed).collect()
+    by_id = {r["Application_ID"]: r[readers.CORRUPT] for r in readers.read_loans_with_rejects(spark, feed).collect()}
+    assert by_id["LP1"] is None and "often" in by_id["LP2"]
+    inferred = readers.read_records_inferred(spark, feed)
+    assert sorted(inferred.columns) == sorted(schemas.LOAN.names)
+
+
+def test_feature_names(spark, tmp_path):
+    features = [{"type": "Feature", "properties": {"name": n}, "geometry": None} for n in ("Ohio", "Utah")]
+    path = pretty_file(tmp_path, "states.json", {"type": "FeatureCollection", "features": features})
+    assert rows(readers.read_feature_names(spark, path)) == [("Ohio",), ("Utah",)]
+
+
+def test_text_zips_survive_the_crosswalk_read(spark, tmp_path):
+    path = tmp_path / "zips.csv"
+    path.write_text("\n".join(CROSSWALK))
+    assert [r["CUST_ZIP"] for r in readers.read_crosswalk(spark, str(path)).collect()] == ["07501", "07501", "10001"]
+
+
+def test_jdbc_options():
+    assert readers.jdbc_read_options("u", "t", "id", 0, 100, 4) == {
+        "url": "u", "dbtable": "t", "fetchsize": "10000", "partitionColumn": "id", "lowerBound": "0",
+        "upperBound": "100", "numPartitions": "4",
+    }
+    with pytest.raises(ValueError):
+        readers.jdbc_read_options("u", "t", "id")
+    assert writers.jdbc_write_options("u", "t", 2, 5)["batchsize"] == "5"
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert new_path(spark, "a") != new_path(spark, "a")

@@ -1,0 +1,111 @@
+"""Plans under a key that holds a third of all rows."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom import schemas
+from ledgerloom.operators import joins
+from ledgerloom.plans import loads, reports
+from tests.helpers import final_plan, rows
+
+N = 60_000
+
+
+@pytest.fixture
+def small_skew_limits(settings):
+    """Limits low enough for a test table to count as skewed, and no broadcasts."""
+    settings(
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8",
+        }
+    )
+
+
+@pytest.fixture
+def tables(spark):
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997)
+    transactions = spark.range(0, N, 1, 8).select(
+        F.col("id").alias("TRANSACTION_ID"),
+        F.concat(F.lit("c"), key).alias("CREDIT_CARD_NO"),
+        F.date_format(F.date_add(F.lit("2018-01-01").cast("date"), (F.col("id") % 365).cast("int")), "yyyyMMdd").alias("TIMEID"),
+        key.alias("CUST_SSN"),
+        (F.col("id") % 211).alias("BRANCH_CODE"),
+        F.lit("Bills").alias("TRANSACTION_TYPE"),
+        F.lit(1.0).alias("TRANSACTION_VALUE"),
+    )
+    holders = spark.range(997).select(
+        F.concat(F.lit("c"), "id").alias("CREDIT_CARD_NO"),
+        F.col("id").alias("SSN"),
+        F.lit("A").alias("FIRST_NAME"),
+        F.lit("B").alias("LAST_NAME"),
+    )
+    branches = spark.range(211).select(
+        F.col("id").alias("BRANCH_CODE"), (F.col("id") + 10000).cast("string").alias("BRANCH_ZIP")
+    )
+    return transactions, holders, branches
+
+
+def test_row_level_join_splits_the_hot_card(small_skew_limits, tables):
+    transactions, holders, _ = tables
+    joined = joins.with_customers(transactions, holders)
+    assert joined.count() == N
+    assert "skew=true" in final_plan(joined)
+
+
+def test_daily_totals_split_the_hot_card(small_skew_limits, tables):
+    daily = reports.daily_totals(*tables)
+    assert sum(r["total_transaction_value"] for r in daily.collect()) == N
+    assert "skew=true" in final_plan(daily)
+
+
+def test_statements_split_the_hot_card(spark, small_skew_limits, tables):
+    transactions, holders, _ = tables
+    asked = holders.select(
+        "CREDIT_CARD_NO",
+        F.lit("2018-01-01").cast("date").alias("first_date"),
+        F.lit("2018-12-31").cast("date").alias("last_date"),
+    )
+    statements = reports.card_statements(asked, transactions)
+    assert statements.filter("outcome = 'found'").count() == N
+    assert "skew=true" in final_plan(statements)
+
+
+def shared_addresses(spark, hot: str):
+    """Customers of whom a third share one address; the others have one each."""
+    columns = {f.name: F.lit(None).cast(f.dataType) for f in schemas.CUSTOMER_FEED.fields}
+    columns.update(
+        CREDIT_CARD_NO=F.col("id").cast("string"),
+        SSN=F.col("id"),
+        CUST_EMAIL=F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.concat(F.col("id"), F.lit("@x"))),
+        FIRST_NAME=F.lit("Ann"),
+        MIDDLE_NAME=F.when(F.col("id") == 3, "A").otherwise("Bo"),
+        LAST_NAME=F.lit("Lee"),
+    )
+    return spark.range(0, N, 1, 8).select(*[v.alias(k) for k, v in columns.items()])
+
+
+@pytest.mark.parametrize("hot", ["all@x", None])
+def test_hot_address_is_never_shuffled(spark, settings, hot):
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    people = shared_addresses(spark, hot)
+    done = loads.disambiguate_emails(people)
+    counts = dict(rows(done.groupBy("CUST_EMAIL").count().filter("count > 1")))
+    assert counts == {"ABLee@example.com": N // 3 - 1}
+    assert done.filter("SSN = 3").first()["CUST_EMAIL"] == hot
+    assert done.count() == N
+
+
+def test_partial_aggregation_comes_before_every_shuffle_of_bills(small_skew_limits, tables):
+    transactions, holders, _ = tables
+    bills = reports.monthly_bills(transactions, holders)
+    assert sum(r["total_bill"] for r in bills.collect()) == N
+    plan = bills._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "Window" not in plan
