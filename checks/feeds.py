@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.labels import state_name
 from ledgerloom.session import new_path
 
 
-def write_json_arrays(df: DataFrame, name: str, chunk: Column) -> str:
-    """Pretty-printed JSON arrays, one file for each chunk of a bounded number of rows."""
+def write_json_arrays(df: DataFrame, name: str) -> str:
+    """Pretty-printed JSON arrays, one file for each Arrow batch of records.
+
+    A batch has a fixed largest size, so no file or task depends on how keys are spread.
+    """
+
+    def to_arrays(batches):
+        for batch in batches:
+            yield pd.DataFrame({"value": ["[\n" + ",\n".join(batch["record"]) + "\n]"]})
+
     path = new_path(df.sparkSession, name)
-    arrays = df.groupBy(chunk.alias("chunk")).agg(F.collect_list(F.struct(*df.columns)).alias("records"))
-    documents = arrays.select(F.to_json("records", {"pretty": "true"}).alias("value"))
-    documents.write.option("maxRecordsPerFile", 1).text(path)
+    records = df.select(F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("record"))
+    arrays = records.mapInPandas(to_arrays, "value string")
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -33,7 +42,7 @@ def write_headerless_csv(df: DataFrame, name: str) -> str:
 def write_state_features(customers: DataFrame, branches: DataFrame, name: str) -> str:
     """GeoJSON collections, one for each initial letter, of the states that occur.
 
-    States are two-letter codes of a fixed list, so a collection holds a few names only.
+    There are fifty states with a name, which bounds every collection.
     """
     path = new_path(customers.sparkSession, name)
     codes = customers.select(F.col("CUST_STATE").alias("code")).union(branches.select("BRANCH_STATE"))

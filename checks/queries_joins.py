@@ -178,7 +178,7 @@ UPDATED_SQL = "select cu.* replace (" + ", ".join(
     f"case when cu.{f} <> l.new_{f} then l.new_{f} else cu.{f} end as {f}" for f in FIELDS
 ) + f") from cu left join ({LATEST_SQL}) as l on cu.CREDIT_CARD_NO = l.CREDIT_CARD_NO"
 
-add("update_customer_field", lambda d: updates.apply_changes(d.customers, d.requests), UPDATED_SQL)
+add("update_customer_field", lambda d: updates.apply_changes(d.stored_customers, d.requests), UPDATED_SQL)
 
 STORED_SQL = "case FIELD " + " ".join(f"when '{f}' then cu.{f}" for f in FIELDS) + " end"
 AUDIT_SQL = f"""
@@ -198,4 +198,4 @@ AUDIT_SQL = f"""
     union all
     select REQUEST_ID, CREDIT_CARD_NO, FIELD, NEW_VALUE, null, null, 'rejected', reason from judged where reason is not null"""
 
-add("update_before_after", lambda d: updates.audit_changes(d.customers, d.requests), AUDIT_SQL)
+add("update_before_after", lambda d: updates.audit_changes(d.stored_customers, d.requests), AUDIT_SQL)

@@ -26,19 +26,19 @@ def _feed(df, schema):
 
 def scan_transactions(d):
     raw = _feed(d.raw_transactions, schemas.TRANSACTION_FEED)
-    path = feeds.write_json_arrays(raw, "transaction-feed", F.floor(F.col("TRANSACTION_ID") / 10_000))
+    path = feeds.write_json_arrays(raw, "transaction-feed")
     return readers.read_json_records(d.spark, path, schemas.TRANSACTION_FEED)
 
 
 def scan_branches(d):
     raw = _feed(d.raw_branches, schemas.BRANCH_FEED)
-    path = feeds.write_json_arrays(raw, "branch-feed", F.floor(F.col("BRANCH_CODE") / 1000))
+    path = feeds.write_json_arrays(raw, "branch-feed")
     return readers.read_json_records(d.spark, path, schemas.BRANCH_FEED)
 
 
 def scan_customers(d):
     raw = _feed(d.raw_customers, schemas.CUSTOMER_FEED)
-    path = feeds.write_json_arrays(raw, "customer-feed", F.floor(F.col("SSN") / 1000))
+    path = feeds.write_json_arrays(raw, "customer-feed")
     return readers.read_json_records(d.spark, path, schemas.CUSTOMER_FEED)
 
 

@@ -14,7 +14,7 @@ from checks import feeds
 from checks.role_views import VIEWS, frame, view_sql
 from ledgerloom import schemas
 from ledgerloom.plans import loads
-from ledgerloom.sources import readers
+from ledgerloom.sources import readers, writers
 
 
 class BankData:
@@ -56,6 +56,11 @@ class BankData:
     def customers(self) -> DataFrame:
         return loads.clean_customers(self.raw_customers, self.crosswalk)
 
+    @cached_property
+    def stored_customers(self) -> DataFrame:
+        """The customer table as the update jobs find it: written and read back."""
+        return writers.land(self.customers, "customers")
+
     @cached_property
     def loans(self) -> DataFrame:
         return self.view("rv_loan")

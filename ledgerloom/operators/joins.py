@@ -39,10 +39,19 @@ def changed_values(before: DataFrame, after: DataFrame, key: str, column: str, k
 
 
 def patch_column(original: DataFrame, updated: DataFrame, key: str, column: str) -> DataFrame:
-    """``original`` with ``column`` replaced where ``updated`` has a value for the key."""
-    patch = one_row_per_key(updated.select(key, F.col(column).alias("__patch")), key)
+    """``original`` with ``column`` replaced where ``updated`` has a value for the key.
+
+    The patches are grouped by the key inside a struct, so that the join shuffles them
+    anew: AQE splits a key with very many original rows only if neither side of the join
+    is an aggregate that already has the join's partitioning.
+    """
+    patch = (
+        updated.groupBy(F.struct(F.col(key).alias("__patch_key")).alias("__group"))
+        .agg(F.min(column).alias("__patch"))
+        .select("__group.__patch_key", "__patch")
+    )
     return (
-        original.join(patch, key, "left")
+        original.join(patch, F.col(key) == F.col("__patch_key"), "left")
         .withColumn(column, F.coalesce("__patch", column))
         .select(original.columns)
     )

@@ -79,10 +79,15 @@ def clean_customers(raw: DataFrame, crosswalk: DataFrame, keep_unmatched: bool =
     return one_row_per_key(reachable, "CREDIT_CARD_NO")
 
 
-def load_branches(spark: SparkSession, feed: str, target: str, multiline: bool = True) -> None:
-    """Append the cleaned branch feed."""
-    raw = readers.read_json_records(spark, feed, schemas.BRANCH_FEED, multiline)
-    writers.append_rows(clean_branches(raw), target)
+def load_branches(
+    spark: SparkSession, feed: str, target: str, multiline: bool = True, only_new: bool = False
+) -> None:
+    """Append the cleaned branch feed; with ``only_new``, just branches not stored yet."""
+    branches = clean_branches(readers.read_json_records(spark, feed, schemas.BRANCH_FEED, multiline))
+    if only_new:
+        writers.append_new_rows(branches, target, ["BRANCH_CODE"])
+    else:
+        writers.append_rows(branches, target)
 
 
 def load_transactions(spark: SparkSession, feed: str, target: str, multiline: bool = True) -> None:
@@ -95,14 +100,28 @@ def load_transactions(spark: SparkSession, feed: str, target: str, multiline: bo
 def load_customers(
     spark: SparkSession, feed: str, crosswalk_feed: str, target: str, multiline: bool = True
 ) -> None:
-    """Replace the customer table."""
+    """Replace the customer table.
+
+    Resolving shared addresses reads the customers more than once, so the feed is landed
+    as Parquet first.
+    """
     raw = readers.read_json_records(spark, feed, schemas.CUSTOMER_FEED, multiline)
     crosswalk = readers.read_crosswalk(spark, crosswalk_feed)
-    writers.overwrite_rows(clean_customers(raw, crosswalk), target)
+    landed = writers.land(raw, "customer-feed")
+    writers.overwrite_rows(clean_customers(landed, crosswalk), target)
 
 
-def load_loans(spark: SparkSession, feed: str, table: str, path: str | None = None, multiline: bool = False) -> None:
+def load_loans(
+    spark: SparkSession,
+    feed: str,
+    table: str,
+    path: str | None = None,
+    multiline: bool = False,
+    only_new: bool = False,
+) -> None:
     """Append the loan feed to its typed table, creating the table first if needed."""
     loans = readers.read_loans(spark, feed, multiline)
     writers.ensure_table(spark, table, schemas.LOAN, path)
+    if only_new:
+        loans = loans.join(spark.table(table).select("Application_ID"), "Application_ID", "left_anti")
     writers.append_to_table(loans, table)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ledgerloom.session import new_path
+
 
 def append_rows(df: DataFrame, path: str) -> None:
     """Add rows to a table. Running it twice adds them twice: see ``append_new_rows``."""
@@ -13,10 +16,27 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 def append_new_rows(df: DataFrame, path: str, keys: list[str]) -> None:
     """Add only rows whose key the table does not hold yet, so that a rerun changes nothing."""
-    stored = df.sparkSession.read.parquet(path).select(*keys)
+    try:
+        stored = df.sparkSession.read.parquet(path).select(*keys)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        append_rows(df, path)
+        return
     append_rows(df.join(stored, keys, "left_anti"), path)
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For feeds that are costly to parse and read more than once. The table is plain
+    Parquet, so nothing has to be parsed again when an executor is lost.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def overwrite_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace a table.
 

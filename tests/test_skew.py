@@ -93,7 +93,7 @@ def shared_addresses(spark, hot: str):
 
 
 @pytest.mark.parametrize("hot", ["all@x", None])
-def test_hot_address_is_never_shuffled(spark, settings, hot):
+def test_hot_address_needs_no_window_and_no_shuffle_of_its_rows(spark, settings, hot):
     settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
     people = shared_addresses(spark, hot)
     done = loads.disambiguate_emails(people)
@@ -101,6 +101,20 @@ def test_hot_address_is_never_shuffled(spark, settings, hot):
     assert counts == {"ABLee@example.com": N // 3 - 1}
     assert done.filter("SSN = 3").first()["CUST_EMAIL"] == hot
     assert done.count() == N
+    hot_side = final_plan(done).split(":- ", 1)[1].split("\n      +- ")[0]
+    rows_of_hot_side = hot_side.split("BroadcastQueryStage")[0]
+    assert "BroadcastHashJoin" in rows_of_hot_side and "Exchange" not in rows_of_hot_side
+    assert "Window" not in final_plan(done)
+
+
+def test_patching_splits_the_hot_key(spark, small_skew_limits):
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).alias("k")
+    original = spark.range(0, N, 1, 8).select(key, F.col("id").cast("string").alias("e"), "id")
+    updated = spark.createDataFrame([(0, "new"), (5, "five")], "k long, e string")
+    patched = joins.patch_column(original, updated, "k", "e")
+    assert patched.count() == N
+    assert patched.filter("e = 'new'").count() == original.filter("k = 0").count()
+    assert "skew=true" in final_plan(patched)
 
 
 def test_partial_aggregation_comes_before_every_shuffle_of_bills(small_skew_limits, tables):
