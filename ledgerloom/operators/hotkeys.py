@@ -14,12 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEY_PARTS = 1000
-
+from ledgerloom.sources.writers import land
 
-def row_count(df: DataFrame) -> Column:
-    """Number of rows of ``df`` as a scalar inside another query."""
-    return df.agg(F.count(F.lit(1))).scalar()
+HOT_KEY_PARTS = 1000
 
 
 def null_safe_match(left: list[str], right: list[str]) -> Column:
@@ -27,27 +24,24 @@ def null_safe_match(left: list[str], right: list[str]) -> Column:
 
 
 def attach_by_key(
-    df: DataFrame,
-    per_key: DataFrame,
-    keys: list[str],
-    values: list[str],
-    weight: str,
-    how: str = "left",
-    total: Column | None = None,
+    df: DataFrame, per_key: DataFrame, keys: list[str], values: list[str], weight: str, how: str = "left"
 ) -> DataFrame:
     """Add the ``values`` columns of ``per_key`` (one row per key) to the rows of ``df``.
 
     ``weight`` is the column of ``per_key`` with the number of rows that key has in
-    ``df``, ``total`` their sum unless that is cheaper to get in another way. Null keys
-    match null keys. ``how`` is ``left`` or ``inner``.
+    ``df``. Null keys match null keys. ``how`` is ``left`` or ``inner``.
+
+    ``per_key`` is written to the shared folder first: it is read several times, and Spark
+    then knows its size, so that a small one is broadcast and ``df`` not shuffled at all.
     """
     key_names = [f"__key_{i}" for i in range(len(keys))]
-    table = per_key.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, key_names)], *values, F.col(weight).alias("__weight")
+    table = land(
+        per_key.select(
+            *[F.col(k).alias(n) for k, n in zip(keys, key_names)], *values, F.col(weight).alias("__weight")
+        ),
+        "per-key",
     )
-    if total is None:
-        total = table.agg(F.sum("__weight")).scalar()
-    is_hot = F.col("__weight") * HOT_KEY_PARTS > total
+    is_hot = F.col("__weight") * HOT_KEY_PARTS > table.agg(F.sum("__weight")).scalar()
     hot, cold = table.filter(is_hot), table.filter(~is_hot)
     on = null_safe_match(keys, key_names)
     columns = [*df.columns, *values]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.hotkeys import attach_by_key, null_safe_match, row_count
+from ledgerloom.operators.hotkeys import attach_by_key, null_safe_match
 
 
 def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> DataFrame:
@@ -34,7 +34,7 @@ def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> Da
     ranked = within_head.join(before_head, null_safe_match([group, "__head"], ["__group", "__head_key"])).select(
         group, order, "__n", (F.lit(1) + F.col("__before_head") + F.col("__before_pair")).alias(name)
     )
-    return attach_by_key(df, ranked, [group, order], [name], weight="__n", total=row_count(df))
+    return attach_by_key(df, ranked, [group, order], [name], weight="__n")
 
 
 def rank_exceeds_one(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
