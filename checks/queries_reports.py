@@ -176,13 +176,13 @@ add(
     lambda d: reports.report_top_months(d.transactions),
     """select * from (
            select 'total_value' as measure, monthname(make_date(2000, cast(month as int), 1)) as month_name,
-                  total_value as amount,
+                  total_value, transactions,
                   '$' || format('{:,}', cast(floor(total_value) as bigint)) || '.'
                       || lpad(cast(cast(round(total_value * 100) as bigint) % 100 as varchar), 2, '0') as label
            from by_month order by total_value desc, month limit 3) as v
        union all
        select * from (
-           select 'transactions', monthname(make_date(2000, cast(month as int), 1)), cast(transactions as double),
+           select 'transactions', monthname(make_date(2000, cast(month as int), 1)), total_value, transactions,
                   format('{:,}', transactions) from by_month order by transactions desc, month limit 3) as n""",
 )
 

@@ -126,15 +126,18 @@ def top_months_by_count(transactions: DataFrame, k: int = 3) -> DataFrame:
 
 
 def report_top_months(transactions: DataFrame, k: int = 3) -> DataFrame:
-    """Top months by value and by number, named and labelled; one aggregation for both."""
+    """Top months by value and by number, named and labelled.
+
+    Both rankings carry both measures, so they share one aggregation of the transactions.
+    """
     totals = monthly_totals(transactions)
 
     def ranking(measure: str, label: Column) -> DataFrame:
-        best = top_k(totals, k, F.desc(measure), "month")
-        return best.select(
+        return top_k(totals, k, F.desc(measure), "month").select(
             F.lit(measure).alias("measure"),
             month_name(F.col("month")).alias("month_name"),
-            as_amount(measure).alias("amount"),
+            as_amount("total_value").alias("total_value"),
+            "transactions",
             label.alias("label"),
         )
 

@@ -34,7 +34,7 @@ def land(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def overwrite_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
