@@ -20,6 +20,21 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, mult
     return spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
 
 
+def read_json_with_rejects(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
+    """As ``read_json_records``, but broken records are kept as text in ``_corrupt_record``.
+
+    Store the full rows before asking for rejects: Spark checks only columns a query reads.
+    """
+    checked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return (
+        spark.read.schema(checked)
+        .option("multiLine", multiline)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
+    )
+
+
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
     """Headerless ZIP crosswalk, columns named by position; ZIPs stay text."""
     return spark.read.schema(schemas.CROSSWALK).option("header", False).option("mode", "FAILFAST").csv(path)
@@ -35,21 +50,6 @@ def read_loans(spark: SparkSession, path: str, multiline: bool = False) -> DataF
     return read_json_records(spark, path, schemas.LOAN, multiline)
 
 
-def read_loans_with_rejects(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """As ``read_loans``, but broken records are kept as text in ``_corrupt_record``.
-
-    Store the full rows before asking for rejects: Spark checks only columns a query reads.
-    """
-    schema = T.StructType([*schemas.LOAN.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
-
-
 def read_feature_names(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """``properties.name`` of every feature of the GeoJSON collections under ``path``."""
     collections = read_json_records(spark, path, schemas.GEOJSON, multiline)

@@ -94,6 +94,15 @@ def test_transactions_are_partitioned_pruned_and_rerunnable(spark, tmp_path):
     assert "GreaterThanOrEqual(TIMEID,20180301)" in plan and "LessThanOrEqual(TIMEID,20180331)" in plan
 
 
+def test_point_lookup_reaches_the_scan(spark, tmp_path):
+    target = str(tmp_path / "credit")
+    data = spark.createDataFrame([(1, "c1"), (2, "c2")], "TRANSACTION_ID long, CREDIT_CARD_NO string")
+    writers.overwrite_rows(data, target)
+    count = reports.card_count(readers.read_table(spark, target), "c1")
+    plan = final_plan(count)
+    assert "EqualTo(CREDIT_CARD_NO,c1)" in plan and "ReadSchema: struct<CREDIT_CARD_NO:string>" in plan
+
+
 CROSSWALK = [
     "07501,NJ,Paterson,Passaic,973/862,5,Y",
     "07501,NJ,Paterson,Passaic,201,5,Y",
@@ -161,7 +170,8 @@ def test_loan_of_the_wrong_type_fails_or_is_kept_as_a_reject(spark, tmp_path):
     feed = lines_file(tmp_path, "loans.json", [LOANS[0], {**LOANS[1], "Credit_History": "often"}])
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         readers.read_loans(spark, feed).collect()
-    by_id = {r["Application_ID"]: r[readers.CORRUPT] for r in readers.read_loans_with_rejects(spark, feed).collect()}
+    kept = readers.read_json_with_rejects(spark, feed, schemas.LOAN, multiline=False)
+    by_id = {r["Application_ID"]: r[readers.CORRUPT] for r in kept.collect()}
     assert by_id["LP1"] is None and "often" in by_id["LP2"]
     inferred = readers.read_records_inferred(spark, feed)
     assert sorted(inferred.columns) == sorted(schemas.LOAN.names)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.operators import joins
+from ledgerloom.operators import joins, updates
 from ledgerloom.plans import loads, reports
 from tests.helpers import final_plan, rows
 
@@ -78,6 +78,26 @@ def test_statements_split_the_hot_card(spark, small_skew_limits, tables):
     assert "skew=true" in final_plan(statements)
 
 
+def test_audit_splits_the_card_with_most_requests(spark, small_skew_limits):
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997)
+    requests = spark.range(0, N, 1, 8).select(
+        F.col("id").alias("REQUEST_ID"),
+        F.concat(F.lit("c"), key).alias("CREDIT_CARD_NO"),
+        F.lit("CUST_ZIP").alias("FIELD"),
+        (F.col("id") % 7 + 10000).cast("string").alias("NEW_VALUE"),
+    )
+    columns = {f.name: F.lit("10000").cast(f.dataType) for f in schemas.CUSTOMER.fields if f.name != "LAST_UPDATED"}
+    columns["CREDIT_CARD_NO"] = F.concat(F.lit("c"), F.col("id"))
+    customers = spark.range(997).select(*[v.alias(k) for k, v in columns.items()])
+    audit = updates.audit_changes(customers, requests, block_rows=5000)
+    assert audit.count() == N
+    assert audit.filter("status = 'no_account' or status = 'rejected'").count() == 0
+    hot = [r["NEW_VALUE"] for r in requests.filter("CREDIT_CARD_NO = 'c0'").orderBy("REQUEST_ID").collect()]
+    changes = sum(a != b for a, b in zip(["10000", *hot], hot))
+    assert audit.filter("CREDIT_CARD_NO = 'c0' and status = 'changed'").count() == changes
+    assert "skew=true" in final_plan(audit)
+
+
 def shared_addresses(spark, hot: str):
     """Customers of whom a third share one address; the others have one each."""
     columns = {f.name: F.lit(None).cast(f.dataType) for f in schemas.CUSTOMER_FEED.fields}
