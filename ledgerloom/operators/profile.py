@@ -1,47 +1,60 @@
-"""Table profiles: every column is measured in the same pass over the table."""
+"""Table profiles: all columns of a table are measured together, not one by one."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.predicates import is_missing
 
+NUMBER = r"^\s*[-+]?[0-9.]+([eE][-+]?[0-9]+)?\s*$"
 
-def _as_number(df: DataFrame, column: str) -> Column:
-    """A column as a number for mean and deviation; text that is no number is ignored."""
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, (T.NumericType, T.StringType)):
-        return F.col(column).try_cast("double")
-    return F.lit(None).cast("double")
+# Measures of one column as SQL text: {c} is the column, {number} its value as a number.
+MISSING = {"missing": "count_if({c} is null or cast({c} as string) = '')"}
+DESCRIPTION = {
+    "filled": "count({c})",
+    "mean": "avg({number})",
+    "stddev": "stddev({number})",
+    "lowest": "cast(min({c}) as string)",
+    "highest": "cast(max({c}) as string)",
+}
+ROWS = {"table_rows": "count(1)"}
 
 
-def _one_row_per_column(df: DataFrame, columns: list[str], measures: dict) -> DataFrame:
+def _number(name: str, dtype: T.DataType) -> str:
+    """A column as a number for mean and deviation; text that is no number is ignored.
+
+    The pattern comes first because a failed cast of text costs far more than a match.
+    """
+    if isinstance(dtype, T.NumericType):
+        return f"cast({name} as double)"
+    if isinstance(dtype, T.StringType):
+        return f"case when {name} rlike r'{NUMBER}' then try_cast({name} as double) end"
+    return "cast(null as double)"
+
+
+def _one_row_per_column(df: DataFrame, columns: list[str] | None, measures: dict[str, str]) -> DataFrame:
     """One global aggregation, whose single row becomes one row for each column."""
-    aggregates = [build(c).alias(f"{c}__{m}") for c in columns for m, build in measures.items()]
-    rows = [
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}__{m}`").alias(m) for m in measures]) for c in columns
-    ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    columns = columns or df.columns
+    types = {f.name: f.dataType for f in df.schema.fields}
+    aggregates, rows = [], []
+    for i, column in enumerate(columns):
+        name = f"`{column}`"
+        number = _number(name, types[column])
+        aggregates += [f"{sql.format(c=name, number=number)} as {m}_{i}" for m, sql in measures.items()]
+        fields = ", ".join(f"'{m}', {m}_{i}" for m in measures)
+        rows.append(f"named_struct('column_name', '{column}', {fields})")
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def missing_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Null or empty values of each column."""
-    measures = {"missing": lambda c: F.count_if(is_missing(F.col(c)))}
-    return _one_row_per_column(df, columns or df.columns, measures)
+    return _one_row_per_column(df, columns, MISSING)
 
 
 def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Filled values, mean, deviation, lowest and highest of each column."""
-    measures = {
-        "filled": lambda c: F.count(c),
-        "mean": lambda c: F.avg(_as_number(df, c)),
-        "stddev": lambda c: F.stddev(_as_number(df, c)),
-        "lowest": lambda c: F.min(c).cast("string"),
-        "highest": lambda c: F.max(c).cast("string"),
-    }
-    return _one_row_per_column(df, columns or df.columns, measures)
+    return _one_row_per_column(df, columns, DESCRIPTION)
 
 
 def _values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -86,35 +99,13 @@ def one_to_one(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def profile_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """All of the above for each column, with the table's row and distinct-row counts."""
-    columns = columns or df.columns
-    types = {f.name: f.dataType for f in df.schema.fields}
-    whole = [c for c in columns if isinstance(types[c], T.IntegralType)]
-    real = [c for c in columns if isinstance(types[c], T.NumericType) and c not in whole]
-    numeric_or_text = [c for c in columns if isinstance(types[c], (T.NumericType, T.StringType))]
-    name, value = F.col("column_name"), F.col("value")
-    number = F.when(name.isin(numeric_or_text), value.try_cast("double"))
-
-    def extreme(pick) -> Column:
-        """Least or greatest value in the order of the column's own type."""
-        return F.coalesce(
-            pick(F.when(name.isin(whole), value.try_cast("long"))).cast("string"),
-            pick(F.when(name.isin(real), value.try_cast("double"))).cast("string"),
-            pick(F.when(~name.isin(whole + real), value)),
-        )
+    """All of the above for each column, with the table's row and distinct-row counts.
 
-    return (
-        _values(df, columns)
-        .groupBy("column_name")
-        .agg(
-            F.count("value").alias("filled"),
-            F.avg(number).alias("mean"),
-            F.stddev(number).alias("stddev"),
-            extreme(F.min).alias("lowest"),
-            extreme(F.max).alias("highest"),
-            F.count_if(is_missing(value)).alias("missing"),
-            F.countDistinct("value").alias("distinct_values"),
-            F.count(F.lit(1)).alias("table_rows"),
-        )
-        .withColumn("table_distinct_rows", distinct_rows(df).scalar())
+    Plain measures need no shuffle at all and distinct values no sort, so each kind has its
+    own pass over the table; what is joined is one row for each column.
+    """
+    columns = columns or df.columns
+    plain = _one_row_per_column(df, columns, {**DESCRIPTION, **MISSING, **ROWS})
+    return plain.join(distinct_per_column(df, columns), "column_name", "left").select(
+        "*", distinct_rows(df).scalar().alias("table_distinct_rows")
     )

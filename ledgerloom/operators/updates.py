@@ -51,7 +51,8 @@ def _with_previous_request(requests: DataFrame, block_rows: int) -> DataFrame:
     window over one row per block.
     """
     target = ["CREDIT_CARD_NO", "FIELD"]
-    blocks = requests.withColumn("__block", F.floor(F.col("REQUEST_ID") / F.lit(block_rows)))
+    number = F.col("REQUEST_ID")
+    blocks = requests.withColumn("__block", number - F.pmod(number, F.lit(block_rows)))
     in_block = Window.partitionBy(*target, "__block").orderBy("REQUEST_ID")
     lagged = blocks.withColumn("__previous", F.lag("NEW_VALUE").over(in_block))
 
