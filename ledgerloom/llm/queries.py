@@ -7,29 +7,85 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, line_bitmaps, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = template_windows.leaked_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "n_windows", "n_matched", "n_reworded")
+
+
+def op4_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_schedule.mixed_documents(_table(spark, sf_dir, "documents")).drop("first_slot")
+
+
 def op5_bit_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bit_sliced_simhash.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id", "component_rows")
 
 
+def op7_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_bitmaps.without_common_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunk_recipes.exact_groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_windows": op1_template_windows,
+    "op4_source_schedule": op4_source_schedule,
     "op5_bit_sliced_simhash": op5_bit_sliced_simhash,
+    "op7_line_bitmaps": op7_line_bitmaps,
     "op10_chunk_recipes": op10_chunk_recipes,
 }
 
+# The words a document gives follow from its place in the stream of its source: no schedule is needed to count them.
+MIXED_SQL = r"""
+        with sized as (
+            select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from {documents}),
+        sources as (
+            select source, sum(size)::bigint as source_size, 1 + (row_number() over (order by source nulls last) - 1) % 3 as weight
+            from sized group by source),
+        filling as (
+            select *, row_number() over by_cap as place, weight as w,
+                   (sum(source_size) over () - coalesce(sum(3 * source_size) over (by_cap rows between unbounded preceding and 1 preceding), 0))::double
+                       / (sum(weight) over (by_cap rows between current row and unbounded following))::double as level
+            from sources window by_cap as (order by 3 * source_size / weight::double, source nulls last)),
+        targets as (
+            select source, source_size,
+                   least(3 * source_size::double, weight * (select arg_min(level, place) from filling where level * w <= 3 * source_size)) as target
+            from filling),
+        streamed as (
+            select *, coalesce(sum(size) over (partition by source order by md5(coalesce(doc_id::varchar, '')), doc_id, size
+                rows between unbounded preceding and 1 preceding), 0) as start
+            from sized)
+        select doc_id, size, source_size, target,
+               (greatest(0, least(start + size, floor(target)) - start)
+                + greatest(0, least(start + size, floor(target) - source_size) - start)
+                + greatest(0, least(start + size, floor(target) - 2 * source_size) - start))::bigint as taken
+        from streamed join targets on streamed.source is not distinct from targets.source"""
+
 SQL: dict[str, str] = {
+    "op4_source_schedule": MIXED_SQL.replace("{documents}", "documents"),
+    "op7_line_bitmaps": """
+        with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+        numbered as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from parts),
+        keyed as (
+            select *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as key
+            from numbered),
+        common as (select key from keyed where key <> '' group by key having count(distinct doc_id) >= 10),
+        judged as (select *, key in (select key from common) as gone from keyed)
+        select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+        from judged group by doc_id""",
     "op10_chunk_recipes": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
