@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, line_bitmaps, source_schedule, template_windows
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, importance_resampling, line_bitmaps, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,13 @@ def op4_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bit_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bit_sliced_simhash.simhash_components(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id", "component_rows")
+    # stored in little-endian bytes
+    return found.select("doc_id", F.lower(F.hex(F.concat(*[F.substring("bits", i, 1) for i in range(8, 0, -1)]))).alias("fingerprint"), "component_id", "component_rows")
+
+
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", "log_weight", "sample_key")
 
 
 def op7_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_windows": op1_template_windows,
     "op4_source_schedule": op4_source_schedule,
     "op5_bit_sliced_simhash": op5_bit_sliced_simhash,
+    "op6_importance_resampling": op6_importance_resampling,
     "op7_line_bitmaps": op7_line_bitmaps,
     "op10_chunk_recipes": op10_chunk_recipes,
 }
