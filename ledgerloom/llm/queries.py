@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, importance_resampling, line_bitmaps, source_schedule, template_windows
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, feistel_pseudonyms, importance_resampling, line_bitmaps, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.select("doc_id", "item_id", "n_windows", "n_matched", "n_reworded")
 
 
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = feistel_pseudonyms.with_pseudonyms(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_found", "found.*")
+
+
 def op4_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_schedule.mixed_documents(_table(spark, sf_dir, "documents")).drop("first_slot")
 
@@ -46,6 +51,7 @@ def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_windows": op1_template_windows,
+    "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
     "op4_source_schedule": op4_source_schedule,
     "op5_bit_sliced_simhash": op5_bit_sliced_simhash,
     "op6_importance_resampling": op6_importance_resampling,
