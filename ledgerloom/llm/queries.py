@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, line_bitmaps, source_schedule, template_windows
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, line_bitmaps, run_length_index, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op7_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = run_length_index.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deobfuscated_toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bit_sliced_simhash": op5_bit_sliced_simhash,
     "op6_importance_resampling": op6_importance_resampling,
     "op7_line_bitmaps": op7_line_bitmaps,
+    "op8_run_length_index": op8_run_length_index,
     "op9_deobfuscated_toxicity": op9_deobfuscated_toxicity,
     "op10_chunk_recipes": op10_chunk_recipes,
 }
