@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, line_bitmaps, run_length_index, source_schedule, template_windows
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, katz_backoff, line_bitmaps, run_length_index, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_found", "found.*")
 
 
+def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_backoff.katz_scores(_table(spark, sf_dir, "documents"))
+
+
 def op4_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_schedule.mixed_documents(_table(spark, sf_dir, "documents")).drop("first_slot")
 
@@ -61,6 +65,7 @@ def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_windows": op1_template_windows,
     "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
+    "op3_katz_backoff": op3_katz_backoff,
     "op4_source_schedule": op4_source_schedule,
     "op5_bit_sliced_simhash": op5_bit_sliced_simhash,
     "op6_importance_resampling": op6_importance_resampling,
