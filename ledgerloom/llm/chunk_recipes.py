@@ -183,11 +183,14 @@ def keep_decided(documents: DataFrame, decided: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("n_kept")
     )
     odd = land(per_key.filter("n_kept < n").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "n_kept"), "dropped")
-    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (digest == F.col("__sha"))
-    kept = documents.join(odd.select("__id", "__sha"), same, "left_anti")
+    # whole rows travel as one column, so that no name of theirs can clash
+    rows = documents.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("sha")
+    )
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha"))
+    kept = rows.join(odd.select("__id", "__sha"), same, "left_anti").select("row.*")
     one_of_several = odd.filter("n_kept > 0")
     if one_of_several.isEmpty():
         return kept
-    repeated = documents.join(one_of_several.select("__id", "__sha"), same, "inner").dropDuplicates(["__id", "__sha"])
-    return kept.unionByName(repeated.select(documents.columns))
+    repeated = rows.join(one_of_several.select("__id", "__sha"), same, "inner").dropDuplicates(["id", "sha"])
+    return kept.unionByName(repeated.select("row.*"))

@@ -109,8 +109,8 @@ def gram_counts(documents: DataFrame, sample: DataFrame, buckets: int = BUCKETS)
             target += np.bincount(grams[good[text]], minlength=buckets)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(target), pa.array(raw)], ["bucket", "target", "raw"])
 
-    marked = documents.join(F.broadcast(sample), F.col("doc_id").cast("long") == F.col("__doc_id"), "left")
-    counted = id_and_text(marked, F.col("__good")).mapInArrow(run, "bucket long, target long, raw long")
+    marked = id_and_text(documents).join(F.broadcast(sample), F.col("doc_id") == F.col("__doc_id"), "left")
+    counted = marked.select("doc_id", "text", "__good").mapInArrow(run, "bucket long, target long, raw long")
     target, raw = np.zeros(buckets), np.zeros(buckets)
     for bucket, t, r in counted.groupBy("bucket").agg(F.sum("target"), F.sum("raw")).collect():
         target[bucket], raw[bucket] = t, r
@@ -186,24 +186,14 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
     return low
 
 
-def resample(
-    documents: DataFrame, labels: DataFrame, keep: float | None = None, buckets: int = BUCKETS, temperature: float = 1.0, seed: int = SEED
-) -> DataFrame:
-    """The rows of ``documents`` that the sample holds, with ``log_weight`` and ``sample_key`` added.
-
-    The sample has ``keep`` of all rows; by default as many as have a weight above the cut
-    that best divides the labelled documents. Labels are used from ``LABELLED_ROWS`` documents at most; everything
-    else comes from all rows. Rows whose key ties with the last one drawn, repeated rows among them, are
-    drawn together. Empty and null texts have weight zero. Without usable labels the models agree and,
-    unless ``keep`` says otherwise, every row stays. An empty table gives an empty result. Columns called ``log_weight`` or
-    ``sample_key`` in the input are replaced.
-    """
-    documents = documents.drop("log_weight", "sample_key")
+def _sampled(documents: DataFrame, labels: DataFrame, keep: float | None, buckets: int, temperature: float, seed: int) -> DataFrame:
+    """``row`` (all columns of a drawn row as one, so that no name can clash), ``log_weight`` and ``sample_key``."""
     sample = land(labelled_sample(labels), "labelled-sample")
     weights = log_ratios(*gram_counts(documents, sample, buckets))
     key = F.col("log_weight") / F.lit(float(temperature)) + gumbel(seed)
-    scored = documents.withColumn("log_weight", log_weight(weights)).withColumn("sample_key", key)
-    keys = scored.join(F.broadcast(sample), F.col("doc_id").cast("long") == F.col("__doc_id"), "left")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = rows.withColumn("log_weight", log_weight(weights)).withColumn("sample_key", key)
+    keys = scored.join(F.broadcast(sample), F.col("doc_id") == F.col("__doc_id"), "left")
     keys = land(keys.select("log_weight", "sample_key", "__good"), "sample-keys")
     total = keys.count()
     if not total:
@@ -215,3 +205,24 @@ def resample(
     else:
         k = round(keep * total)
     return scored.filter(F.col("sample_key") >= F.lit(float(kth_largest(keys, "sample_key", k))))
+
+
+def resample(
+    documents: DataFrame, labels: DataFrame, keep: float | None = None, buckets: int = BUCKETS, temperature: float = 1.0, seed: int = SEED
+) -> DataFrame:
+    """``doc_id, log_weight, sample_key`` of the rows of ``documents`` that the sample holds.
+
+    The sample has ``keep`` of all rows; by default as many as have a weight above the cut
+    that best divides the labelled documents. Labels are used from ``LABELLED_ROWS`` documents at most; everything
+    else comes from all rows. Rows whose key ties with the last one drawn, repeated rows among them, are
+    drawn together. Empty and null texts have weight zero. Without usable labels the models agree and,
+    unless ``keep`` says otherwise, every row stays. An empty table gives an empty result; other columns are ignored.
+    """
+    return _sampled(documents, labels, keep, buckets, temperature, seed).select("doc_id", "log_weight", "sample_key")
+
+
+def sampled_documents(
+    documents: DataFrame, labels: DataFrame, keep: float | None = None, buckets: int = BUCKETS, temperature: float = 1.0, seed: int = SEED
+) -> DataFrame:
+    """The same rows with all columns of ``documents``, and no other."""
+    return _sampled(documents, labels, keep, buckets, temperature, seed).select("row.*")

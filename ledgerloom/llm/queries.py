@@ -39,8 +39,7 @@ def op5_bit_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return kept.select("doc_id", "log_weight", "sample_key")
+    return importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op7_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,10 @@ def _identity() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")]
 
 
+def _same() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+
+
 def leaked_items(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, text_hash, item_id, n_windows, n_matched, n_reworded`` of each benchmark item that a document holds.
 
@@ -100,10 +104,9 @@ def _consistent(documents: DataFrame, slotted: DataFrame, window: int) -> DataFr
     """Those windows with slots whose values follow the substitution that most windows of the pair agree on."""
     pair = ["doc_id", "text_hash", "item_id"]
     asked = slotted.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    id_, hash_ = _identity()
-    texts = documents.withColumns({"__d": id_, "__t": hash_}).join(asked, F.col("__d").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__hash")))
+    texts = documents.select(*_identity(), "text").join(asked, _same())
     tokens = texts.select("__id", "__hash", template_tokens(F.col("text")).alias("tokens")).dropDuplicates(["__id", "__hash"])
-    joined = slotted.join(tokens, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    joined = slotted.join(tokens, _same())
     zipped = F.arrays_zip(F.col("slots").alias("item_value"), _slots(F.col("tokens"), F.col("doc_pos"), window).alias("doc_value"))
     values = joined.select(*pair, "n_windows", "item_pos", "doc_pos", F.explode(zipped).alias("s")).select("*", "s.item_value", "s.doc_value").drop("s")
     values = land(values, "slot-values")
@@ -122,5 +125,6 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, **options: float)
     """``documents``, all columns, without the rows that hold a benchmark item."""
     leaks = land(leaked_items(documents, benchmark, **options), "leaks")
     gone = leaks.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    id_, hash_ = _identity()
-    return documents.join(gone, id_.eqNullSafe(F.col("__id")) & (hash_ == F.col("__hash")), "left_anti")
+    # whole rows travel as one column, so that no name of theirs can clash
+    rows = documents.select(F.struct("*").alias("row"), *_identity())
+    return rows.join(gone, _same(), "left_anti").select("row.*")
