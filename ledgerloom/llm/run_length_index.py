@@ -24,8 +24,9 @@ from ledgerloom.sources.writers import land
 
 LENGTH = 200
 ANCHOR_BYTES = 32
-INDEX_BYTES = 1 << 20
-GROUP_CONTEXTS = 25_000
+INDEX_BYTES = 1 << 18
+PART_CONTEXTS = 2_000
+MOST_PARTS = 100
 BROADCAST_DOCUMENTS = 200_000
 
 
@@ -73,31 +74,40 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, pie
 
 
 def suffix_array(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array and ranks, by prefix doubling from four codes at once; the last code must be unique."""
-    n = len(codes)
-    base = int(codes.max()) + 2
-    rank = codes.astype(np.int64) + 1
-    width = 1
+    """Suffix array and ranks, by prefix doubling from several codes at once; the last code must be unique.
 
-    def joined(values: np.ndarray, by: int, factor: int) -> np.ndarray:
+    Where rank, later rank and position fit into one word, the words themselves are sorted, which is far quicker than
+    sorting positions by them.
+    """
+    n = len(codes)
+    bits = n.bit_length()
+    code_bits = int(codes.max() + 1).bit_length()
+    width = max(1, (63 - bits) // code_bits)
+    rank = np.zeros(n, np.int64)
+    for k in range(width):
         later = np.zeros(n, np.int64)
-        later[: max(0, n - by)] = values[by:]
-        return values * factor + later
-
-    if base**4 < 1 << 62:
-        rank = joined(joined(rank, 1, base), 2, base * base)
-        width = 4
+        later[: max(0, n - k)] = codes[k:] + 1
+        rank = rank << code_bits | later
     while True:
-        order = np.argsort(rank, kind="stable")
-        ordered = rank[order]
-        new = np.ones(n, np.int64)
-        new[1:] = ordered[1:] != ordered[:-1]
-        place = np.cumsum(new) - 1
+        packed = 63 - bits >= int(rank.max()).bit_length()
+        if packed:
+            ordered = rank << bits | np.arange(n)
+            ordered.sort()
+            order = ordered & ((1 << bits) - 1)
+            ordered >>= bits
+        else:
+            order = np.argsort(rank)
+            ordered = rank[order]
+        new = np.empty(n, bool)
+        new[0], new[1:] = False, ordered[1:] != ordered[:-1]
+        place = np.cumsum(new)
         rank = np.empty(n, np.int64)
         rank[order] = place
         if place[-1] == n - 1:
             return order, rank
-        rank = joined(rank + 1, width, n + 2)
+        later = np.zeros(n, np.int64)
+        later[: max(0, n - width)] = rank[width:] + 1
+        rank = rank << bits | later
         width *= 2
 
 
@@ -109,8 +119,10 @@ class RunLengthIndex:
         self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         codes = np.frombuffer(b"\0".join([*texts, b""]), dtype=np.uint8).astype(np.int64) + len(texts)
         codes[self.starts + sizes - 1] = np.arange(len(texts))
-        self.codes = codes
-        order, rank = suffix_array(codes)
+        self.left = np.repeat(self.starts + sizes - 1, sizes) - np.arange(len(codes))
+        padded = np.concatenate([np.frombuffer(b"\0".join([*texts, b""]), dtype=np.uint8), np.zeros(400 + max(map(len, texts)), np.uint8)]).astype(np.uint64)
+        self.eights = sum(padded[k : len(padded) - 7 + k] << np.uint64(8 * k) for k in range(8))
+        order, _ = suffix_array(codes)
         bwt = codes[order - 1]
         head = np.ones(len(bwt), dtype=bool)
         head[1:] = bwt[1:] != bwt[:-1]
@@ -124,22 +136,23 @@ class RunLengthIndex:
         self.after = self._samples(order[up], order[up + 1])
 
     def _samples(self, at: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Common prefixes, eight bytes at a time, within the texts both positions stand in."""
         common = np.zeros(len(at), np.int64)
+        most = np.minimum(self.left[at], self.left[other])
         alive = np.arange(len(at))
-        n = len(self.codes)
         while len(alive):
-            a, b = at[alive] + common[alive], other[alive] + common[alive]
-            fits = (a < n) & (b < n)
-            alive, a, b = alive[fits], a[fits], b[fits]
-            alive = alive[self.codes[a] == self.codes[b]]
-            common[alive] += 1
+            differ = self.eights[at[alive] + common[alive]] ^ self.eights[other[alive] + common[alive]]
+            # zero bytes below the lowest bit that differs
+            same = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3
+            common[alive] += same
+            alive = alive[(same == 8) & (common[alive] < most[alive])]
         order = np.argsort(at)
-        return at[order], common[order]
+        return at[order], np.minimum(common, most)[order]
 
     def matching_statistics(self) -> np.ndarray:
         """For every position, the length of the longest match with another position, streamed from the samples."""
-        longest = np.zeros(len(self.codes), np.int64)
-        every = np.arange(len(self.codes))
+        longest = np.zeros(len(self.left), np.int64)
+        every = np.arange(len(self.left))
         for at, common in (self.before, self.after):
             if not len(at):
                 continue
@@ -181,10 +194,10 @@ def run_table(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _grouped_per_document(rows: DataFrame, name: str, *fields: str) -> DataFrame:
-    """``__id, __hash`` and one array of structs per document."""
-    return land(
-        rows.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name)), name
-    )
+    """``__id, __hash`` and, per document, an array of each field, all in the order of the first."""
+    together = F.sort_array(F.collect_list(F.struct(*fields))).alias("all")
+    grouped = rows.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(together)
+    return land(grouped.select("__id", "__hash", *[F.expr(f"transform(all, r -> r.`{f}`)").alias(f) for f in fields]), name)
 
 
 def _with_documents(documents: DataFrame, per_document: DataFrame, how: str, *columns: str) -> DataFrame:
@@ -195,30 +208,36 @@ def _with_documents(documents: DataFrame, per_document: DataFrame, how: str, *co
 
 def context_bytes(documents: DataFrame, wanted: DataFrame, length: int = LENGTH) -> DataFrame:
     """``anchor, context, content`` for ``wanted (doc_id, text_hash, start, starts, anchor, context)``."""
-    per_document = _grouped_per_document(wanted, "asked", "start", "starts", "anchor", "context")
+    per_document = _grouped_per_document(wanted, "asked-contexts", "start", "starts", "anchor", "context")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches):
             whole = data.tobytes()
             anchors, contexts, contents = [], [], []
-            for base, asked in zip(offsets[:-1].tolist(), part.column(3).to_pylist()):
-                for a in asked:
-                    anchors.append(a["anchor"])
-                    contexts.append(a["context"])
-                    contents.append(whole[base + a["start"] : base + a["start"] + a["starts"] - 1 + length])
+            for base, start, starts, anchor, context in zip(offsets[:-1].tolist(), *(part.column(i).to_pylist() for i in range(3, 7))):
+                anchors += anchor
+                contexts += context
+                contents += [whole[base + a : base + a + n - 1 + length] for a, n in zip(start, starts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchors, pa.int64()), pa.array(contexts, pa.int64()), pa.array(contents, pa.binary())], ["anchor", "context", "content"]
             )
 
-    joined = _with_documents(documents, per_document, "inner", "asked")
+    joined = _with_documents(documents, per_document, "inner", "start", "starts", "anchor", "context")
     return joined.mapInArrow(run, "anchor long, context long, content binary")
 
 
-def _indexed(contents: DataFrame, length: int) -> DataFrame:
+def _indexed(contents: DataFrame, variety: DataFrame, length: int, part_contexts: int) -> DataFrame:
     """``anchor, context, first, starts``: strings of a context that another context of its anchor holds.
 
-    Rows come sorted by anchor, and an index takes whole groups until it is full.
+    An anchor with more than ``part_contexts`` contexts is dealt into parts, and every two parts are a cell. Rows come
+    sorted by cell, and an index takes whole cells until it is full.
     """
+    parts = F.ceil(F.col("variety") / part_contexts).cast("int")
+    dealt = contents.join(variety.select("anchor", parts.alias("parts")), "anchor").withColumn("part", F.pmod(F.xxhash64("context"), F.col("parts")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, "part").alias("i"), F.greatest(k, "part").alias("j")))
+    # two parts meet in a cell of their own; a single part is one cell
+    met = F.when(F.col("parts") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.filter(pairs, lambda p: p["i"] < p["j"]))
+    cells = dealt.withColumn("cell", F.explode(met)).select("anchor", "cell.i", "cell.j", "context", "content")
 
     def matches(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         rows = [
@@ -233,17 +252,20 @@ def _indexed(contents: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, volume, last = [], 0, None
         for batch in batches:
-            for anchor, context, content in zip(*(c.to_pylist() for c in batch.columns)):
-                if anchor != last and volume > INDEX_BYTES:
+            for anchor, i, j, context, content in zip(*(c.to_pylist() for c in batch.columns)):
+                cell = anchor, i, j
+                # cells of one anchor may hold the same contexts, which would then match themselves
+                if cell != last and (volume > INDEX_BYTES or last and last[0] == anchor):
                     yield matches(held)
                     held, volume = [], 0
                 held.append((anchor, context, content))
                 volume += len(content)
-                last = anchor
+                last = cell
         if held:
             yield matches(held)
 
-    return contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, context long, first long, starts long")
+    cell_key = ["anchor", "i", "j"]
+    return cells.repartition(*cell_key).sortWithinPartitions(*cell_key).mapInArrow(run, "anchor long, context long, first long, starts long")
 
 
 def _counted(contents: DataFrame, length: int) -> DataFrame:
@@ -270,31 +292,35 @@ def _counted(contents: DataFrame, length: int) -> DataFrame:
     return strings.join(often, ["anchor", "one", "two"]).select("anchor", "context", "first", F.lit(1).cast("long").alias("starts"))
 
 
-def repeated_spans(documents: DataFrame, length: int = LENGTH, group_contexts: int = GROUP_CONTEXTS) -> DataFrame:
-    """``__id, __hash, spans``: per document, ``(start, end)`` bytes of strings that also start elsewhere; spans may overlap."""
+def repeated_spans(documents: DataFrame, length: int = LENGTH, part_contexts: int = PART_CONTEXTS, most_parts: int = MOST_PARTS) -> DataFrame:
+    """``__id, __hash, from, size``: per document, the spans of strings that also start elsewhere; spans may overlap.
+
+    Anchors with more than ``most_parts`` parts of contexts are counted instead of compared; the result is the same.
+    """
     runs = land(run_table(documents, length), "anchor-runs")
     often = land(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "repeated-anchors")
     runs = land(runs.join(often, "anchor"), "repeated-runs")
     example = F.struct("doc_id", "text_hash", "start", "starts")
     contexts = land(runs.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(example).alias("example")), "contexts")
-    variety = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("variety")).filter("variety > 1")
-    wanted = land(contexts.join(land(variety, "varied-anchors"), "anchor").select("anchor", "context", "example.*", "variety"), "wanted-contexts")
-    large = wanted.filter(F.col("variety") > group_contexts)
+    varied = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("variety")).filter("variety > 1")
+    variety = land(varied, "varied-anchors")
+    wanted = land(contexts.join(variety, "anchor").select("anchor", "context", "example.*", "variety"), "wanted-contexts")
+    most = part_contexts * most_parts
+    large = wanted.filter(F.col("variety") > most)
     whole = contexts.filter("n > 1").select("anchor", "context", F.lit(0).cast("long").alias("first"), F.col("example.starts").alias("starts"))
-    partial = _indexed(context_bytes(documents, wanted.filter(F.col("variety") <= group_contexts), length), length)
+    contents = context_bytes(documents, wanted.filter(F.col("variety") <= most), length)
+    partial = _indexed(contents, variety, length, part_contexts)
     if not large.isEmpty():
         partial = partial.unionByName(_counted(context_bytes(documents, large, length), length))
     once = contexts.filter("n = 1").select("anchor", "context")
     marks = land(whole.unionByName(partial.join(once, ["anchor", "context"], "left_semi")), "marks")
-    ranges = marks.groupBy("anchor", "context").agg(F.collect_list(F.struct("first", F.col("starts").alias("count"))).alias("ranges"))
+    ranges = marks.groupBy("anchor", "context").agg(F.collect_set(F.struct("first", F.col("starts").alias("count"))).alias("ranges"))
     placed = runs.join(land(ranges, "ranges"), ["anchor", "context"]).select("doc_id", "text_hash", "start", F.explode("ranges").alias("r"))
-    spans = placed.select(
-        "doc_id", "text_hash", (F.col("start") + F.col("r.first")).alias("from"), (F.col("start") + F.col("r.first") + F.col("r.count") - 1 + length).alias("to")
-    )
-    return _grouped_per_document(spans, "spans", "from", "to")
+    spans = placed.select("doc_id", "text_hash", (F.col("start") + F.col("r.first")).alias("from"), (F.col("r.count") - 1 + length).cast("int").alias("size"))
+    return _grouped_per_document(spans, "spans", "from", "size")
 
 
-def without_repeats(documents: DataFrame, length: int = LENGTH, group_contexts: int = GROUP_CONTEXTS) -> DataFrame:
+def without_repeats(documents: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """One row per row of ``documents``: ``doc_id, n_bytes, n_removed, n_spans, spans, kept``.
 
     Every byte of a UTF-8 text that a string of ``length`` bytes covers which also starts anywhere else, in the same or another
@@ -307,13 +333,13 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, group_contexts:
         for part, data, offsets in slices(batches):
             whole = data.tobytes()
             sizes, removed, merged, kept = [], [], [], []
-            for base, end, spans in zip(offsets[:-1].tolist(), offsets[1:].tolist(), part.column(3).to_pylist()):
+            for base, end, starts, lengths in zip(offsets[:-1].tolist(), offsets[1:].tolist(), part.column(3).to_pylist(), part.column(4).to_pylist()):
                 own: list[list[int]] = []
-                for s in spans or ():
-                    if own and s["from"] <= own[-1][1]:
-                        own[-1][1] = max(own[-1][1], s["to"])
+                for start, size in zip(starts or (), lengths or ()):
+                    if own and start <= own[-1][1]:
+                        own[-1][1] = max(own[-1][1], start + size)
                     else:
-                        own.append([s["from"], s["to"]])
+                        own.append([start, start + size])
                 edges = [0, *[x for span in own for x in span], end - base]
                 kept.append(b"".join(whole[base + a : base + b] for a, b in zip(edges[::2], edges[1::2])))
                 sizes.append(end - base)
@@ -327,5 +353,5 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, group_contexts:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
             )
 
-    joined = _with_documents(documents, repeated_spans(documents, length, group_contexts), "left", "spans")
+    joined = _with_documents(documents, repeated_spans(documents, length, **sizes), "left", "from", "size")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary")

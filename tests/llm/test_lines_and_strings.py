@@ -94,7 +94,8 @@ def test_repeated_strings(documents, none):
     want = expected(pairs, 200)
     assert sum(w[2] for w in want) > 3000
     assert rows_of(rli.without_repeats(documents(*pairs))) == want
-    assert rows_of(rli.without_repeats(documents(*pairs), group_contexts=1)) == want
+    for sizes in ({"part_contexts": 2}, {"part_contexts": 1, "most_parts": 1}):
+        assert rows_of(rli.without_repeats(documents(*pairs), **sizes)) == want
     assert rli.without_repeats(none).count() == 0
 
 
