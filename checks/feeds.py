@@ -9,16 +9,25 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.labels import state_name
 from ledgerloom.session import new_path
 
+FILE_CHARACTERS = 64_000_000
+
 
 def write_json_arrays(df: DataFrame, name: str) -> str:
-    """Pretty-printed JSON arrays, one file for each Arrow batch of records.
+    """Pretty-printed JSON arrays, one file for about ``FILE_CHARACTERS`` of records."""
 
-    A batch has a fixed largest size, so no file or task depends on how keys are spread.
-    """
+    def array(records):
+        return pd.DataFrame({"value": ["[\n" + ",\n".join(records) + "\n]"]})
 
     def to_arrays(batches):
+        held, size = [], 0
         for batch in batches:
-            yield pd.DataFrame({"value": ["[\n" + ",\n".join(batch["record"]) + "\n]"]})
+            held += batch["record"].tolist()
+            size += int(batch["record"].str.len().sum())
+            if size >= FILE_CHARACTERS:
+                yield array(held)
+                held, size = [], 0
+        if held:
+            yield array(held)
 
     path = new_path(df.sparkSession, name)
     records = df.select(F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("record"))

@@ -10,7 +10,6 @@ from checks.registry import add
 from ledgerloom.functions import cleaning as c
 from ledgerloom.functions import labels, validation
 from ledgerloom.functions import predicates as p
-from ledgerloom.operators.ranking import rank_exceeds_one
 from ledgerloom.plans import loads, reports
 
 CARD = "4" + "42".zfill(15)
@@ -19,7 +18,7 @@ CARD = "4" + "42".zfill(15)
 
 add(
     "filter_point",
-    lambda d: reports.customer_of_card(d.customers, CARD),
+    lambda d: reports.customer_of_card(d.stored("customers"), CARD),
     f"select * from cu where CREDIT_CARD_NO = '{CARD}'",
 )
 add(
@@ -29,14 +28,14 @@ add(
 )
 add(
     "filter_date_between",
-    lambda d: reports.card_transactions(d.transactions, CARD, dt.date(1997, 1, 1), dt.date(1999, 12, 31)),
+    lambda d: reports.card_transactions(d.stored("transactions"), CARD, dt.date(1997, 1, 1), dt.date(1999, 12, 31)),
     f"""select cast(txn_date as varchar) as transaction_date, TRANSACTION_TYPE, TRANSACTION_VALUE, TIMEID
         from dated where CREDIT_CARD_NO = '{CARD}' and txn_date between date '1997-01-01' and date '1999-12-31'
         order by TIMEID desc""",
 )
 add(
     "filter_year_month",
-    lambda d: reports.in_month(d.transactions, 1998, 2),
+    lambda d: reports.in_month(d.stored("transactions"), 1998, 2).drop("TXN_MONTH"),
     "select * exclude (txn_date) from dated where year(txn_date) = 1998 and month(txn_date) = 2",
 )
 add(
@@ -95,11 +94,12 @@ add(
 
 
 def cross_column(d):
-    before = d.raw_customers
-    flagged = rank_exceeds_one(before, "CUST_EMAIL", "MIDDLE_NAME", "shared")
-    generated = c.generated_email(F.col("FIRST_NAME"), F.col("MIDDLE_NAME"), F.col("LAST_NAME"))
-    both = flagged.filter("shared").withColumn("generated_email", generated)
-    return both.filter(F.col("CUST_EMAIL") != F.col("generated_email")).select("SSN", "CUST_EMAIL", "generated_email")
+    original, updated = d.raw_customers.alias("original"), loads.disambiguate_emails(d.raw_customers).alias("updated")
+    same = [F.col(f"original.{key}") == F.col(f"updated.{key}") for key in ("SSN", "CREDIT_CARD_NO")]
+    differ = F.col("original.CUST_EMAIL") != F.col("updated.CUST_EMAIL")
+    return original.join(updated, same).filter(differ).select(
+        "original.SSN", "original.CUST_EMAIL", F.col("updated.CUST_EMAIL").alias("generated_email")
+    )
 
 
 add(
@@ -215,18 +215,23 @@ add(
         "TRANSACTION_ID",
         "CUST_SSN",
         labels.currency_label(F.col("TRANSACTION_VALUE").cast("decimal(18,2)")).alias("label"),
+        labels.currency_label(F.col("TRANSACTION_VALUE").cast("decimal(18,2)") - 20000, 0).alias("whole_label"),
     ),
     """select TRANSACTION_ID, CUST_SSN,
               '$' || format('{:,}', cast(floor(cast(TRANSACTION_VALUE as decimal(18, 2))) as bigint)) || '.'
                   || lpad(cast(cast(cast(TRANSACTION_VALUE as decimal(18, 2)) * 100 as bigint) % 100 as varchar), 2, '0')
-              as label from tx""",
+              as label,
+              '$' || case when whole = 0 and TRANSACTION_VALUE < 20000 then '-' else '' end || format('{:,}', whole) as whole_label
+       from (select *, cast(round_even(cast(TRANSACTION_VALUE as decimal(18, 2)) - 20000, 0) as bigint) as whole from tx) as t""",
 )
 add(
     "fn_thousands_label",
     lambda d: d.transactions.select(
-        "TRANSACTION_ID", "CUST_SSN", labels.thousands_label(F.col("TRANSACTION_ID")).alias("label")
+        "TRANSACTION_ID", "CUST_SSN", labels.thousands_label(F.col("TRANSACTION_ID")).alias("label"),
+        labels.thousands_label(F.col("TRANSACTION_VALUE") - 20000).alias("value_label"),
     ),
-    "select TRANSACTION_ID, CUST_SSN, format('{:,}', TRANSACTION_ID) as label from tx",
+    """select TRANSACTION_ID, CUST_SSN, format('{:,}', TRANSACTION_ID) as label,
+              format('{:,}', cast(trunc(TRANSACTION_VALUE - 20000) as bigint)) as value_label from tx""",
 )
 add(
     "fn_length",

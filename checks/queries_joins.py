@@ -8,6 +8,7 @@ from checks import feeds
 from checks.queries_columns import REASON_SQL
 from checks.queries_sources import FEATURES_SQL, STATE_NAME_CASE
 from checks.registry import add
+from checks.role_views import VIEWS
 from ledgerloom.functions import labels
 from ledgerloom.operators import dedup, joins, ranking, updates
 from ledgerloom.plans import loads, reports
@@ -32,38 +33,38 @@ add(
     lambda d: joins.changed_values(
         d.raw_customers,
         loads.disambiguate_emails(d.raw_customers),
-        "SSN",
+        ["SSN", "CREDIT_CARD_NO"],
         "CUST_EMAIL",
         ["FIRST_NAME", "MIDDLE_NAME", "LAST_NAME"],
     ),
-    """select o.SSN, o.FIRST_NAME, o.MIDDLE_NAME, o.LAST_NAME, o.CUST_EMAIL as original_value, u.CUST_EMAIL as updated_value
-       from rv_cust o join cust_email u on o.SSN = u.SSN where o.CUST_EMAIL <> u.CUST_EMAIL""",
+    """select o.SSN, o.CREDIT_CARD_NO, o.FIRST_NAME, o.MIDDLE_NAME, o.LAST_NAME, o.CUST_EMAIL as original_value, u.CUST_EMAIL as updated_value
+       from rv_cust o join cust_email u on o.SSN = u.SSN and o.CREDIT_CARD_NO = u.CREDIT_CARD_NO
+       where o.CUST_EMAIL <> u.CUST_EMAIL""",
 )
 
 
 def left_patch(d):
-    changed = joins.changed_values(
-        d.raw_customers, loads.disambiguate_emails(d.raw_customers), "SSN", "CUST_EMAIL", []
-    )
-    updated = changed.select("SSN", F.col("updated_value").alias("CUST_EMAIL"))
-    return joins.patch_column(d.raw_customers, updated, "SSN", "CUST_EMAIL").select("SSN", "LAST_NAME", "CUST_EMAIL")
+    keys = ["SSN", "CREDIT_CARD_NO"]
+    changed = joins.changed_values(d.raw_customers, loads.disambiguate_emails(d.raw_customers), keys, "CUST_EMAIL", [])
+    updated = changed.select(*keys, F.col("updated_value").alias("CUST_EMAIL"))
+    return joins.patch_column(d.raw_customers, updated, keys, "CUST_EMAIL").select("SSN", "LAST_NAME", "CUST_EMAIL")
 
 
 add(
     "join_left_patch",
     left_patch,
     """select o.SSN, o.LAST_NAME, coalesce(u.CUST_EMAIL, o.CUST_EMAIL) as CUST_EMAIL
-       from rv_cust o left join cust_email u on o.SSN = u.SSN""",
+       from rv_cust o left join cust_email u on o.SSN = u.SSN and o.CREDIT_CARD_NO = u.CREDIT_CARD_NO""",
 )
 
 FANOUT_SQL = """
-    select c.SSN, c.CREDIT_CARD_NO, c.CUST_ZIP, z.CUST_CITY as "right_CUST_CITY", z.CUST_STATE as "right_CUST_STATE",
+    select c.*, z.CUST_CITY as "right_CUST_CITY", z.CUST_STATE as "right_CUST_STATE",
            z.CUST_COUNTY as "right_CUST_COUNTY", z.AREA_CODE as "right_AREA_CODE"
-    from rv_cust c left join rv_zip z on c.CUST_ZIP = z.CUST_ZIP"""
+    from rv_cust c left join rv_zip z on c.CUST_ZIP = z.CUST_ZIP and trim(c.CUST_ZIP) <> ''"""
 
 
 def fan_out(d):
-    return joins.with_crosswalk_rows(d.raw_customers.select("SSN", "CREDIT_CARD_NO", "CUST_ZIP"), d.crosswalk)
+    return joins.with_crosswalk_rows(d.raw_customers, d.crosswalk)
 
 
 add("join_left_crosswalk", fan_out, FANOUT_SQL)
@@ -132,15 +133,20 @@ add(
 
 
 def deduplicated(d):
-    return dedup.one_row_per_key(fan_out(d).drop("CUST_ZIP"), "CREDIT_CARD_NO")
+    return dedup.one_row_per_key(fan_out(d), "CREDIT_CARD_NO")
+
+
+OTHER_COLUMNS = [c for c in VIEWS["rv_cust"][1] if c != "CREDIT_CARD_NO"] + [
+    f"right_{c}" for c in ("CUST_CITY", "CUST_STATE", "CUST_COUNTY", "AREA_CODE")
+]
 
 
 add(
     "dedup_by_key",
     deduplicated,
-    f"""select * exclude (CUST_ZIP) from ({FANOUT_SQL}) as f
-        qualify row_number() over (partition by CREDIT_CARD_NO order by SSN nulls first, "right_CUST_CITY" nulls first,
-            "right_CUST_STATE" nulls first, "right_CUST_COUNTY" nulls first, "right_AREA_CODE" nulls first) = 1""",
+    f"""select * from ({FANOUT_SQL}) as f
+        qualify row_number() over (
+            partition by CREDIT_CARD_NO order by {", ".join(f'"{c}" nulls first' for c in OTHER_COLUMNS)}) = 1""",
 )
 
 # ---- sorting and top-k ---------------------------------------------------------------
@@ -172,19 +178,19 @@ add(
 
 FIELDS = updates.FIELDS
 LATEST_SQL = "select CREDIT_CARD_NO, " + ", ".join(
-    f"max_by(NEW_VALUE, REQUEST_ID) filter (where FIELD = '{f}') as new_{f}" for f in FIELDS
+    f"last(NEW_VALUE order by REQUEST_ID nulls first, NEW_VALUE) filter (where FIELD = '{f}') as new_{f}" for f in FIELDS
 ) + f" from rv_req where ({REASON_SQL}) is null group by CREDIT_CARD_NO"
 UPDATED_SQL = "select cu.* replace (" + ", ".join(
     f"case when cu.{f} <> l.new_{f} then l.new_{f} else cu.{f} end as {f}" for f in FIELDS
 ) + f") from cu left join ({LATEST_SQL}) as l on cu.CREDIT_CARD_NO = l.CREDIT_CARD_NO"
 
-add("update_customer_field", lambda d: updates.apply_changes(d.stored_customers, d.requests), UPDATED_SQL)
+add("update_customer_field", lambda d: updates.apply_changes(d.stored("customers"), d.requests), UPDATED_SQL)
 
 STORED_SQL = "case FIELD " + " ".join(f"when '{f}' then cu.{f}" for f in FIELDS) + " end"
 AUDIT_SQL = f"""
     with judged as (select *, {REASON_SQL} as reason from rv_req),
     chained as (
-        select *, lag(NEW_VALUE) over (partition by CREDIT_CARD_NO, FIELD order by REQUEST_ID) as earlier
+        select *, lag(NEW_VALUE) over (partition by CREDIT_CARD_NO, FIELD order by REQUEST_ID nulls first, NEW_VALUE) as earlier
         from judged where reason is null),
     joined as (
         select j.REQUEST_ID, j.CREDIT_CARD_NO, FIELD, NEW_VALUE, cu.CREDIT_CARD_NO is not null as account,
@@ -198,4 +204,4 @@ AUDIT_SQL = f"""
     union all
     select REQUEST_ID, CREDIT_CARD_NO, FIELD, NEW_VALUE, null, null, 'rejected', reason from judged where reason is not null"""
 
-add("update_before_after", lambda d: updates.audit_changes(d.stored_customers, d.requests), AUDIT_SQL)
+add("update_before_after", lambda d: updates.audit_changes(d.stored("customers"), d.requests), AUDIT_SQL)

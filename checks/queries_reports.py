@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.queries_columns import CARD
-from checks.queries_joins import fan_out
+from checks.queries_joins import FANOUT_SQL, fan_out
 from checks.registry import add
 from ledgerloom.operators import dedup, profile
 from ledgerloom.plans import reports
@@ -22,7 +22,7 @@ add(
 )
 add(
     "agg_count_exists",
-    lambda d: reports.card_count(d.transactions, CARD),
+    lambda d: reports.card_count(d.stored("transactions"), CARD),
     f"select count(*) as transactions from tx where CREDIT_CARD_NO = '{CARD}'",
 )
 add(
@@ -120,7 +120,7 @@ DAILY_SQL = f"""
 
 add(
     "agg_zip_month_daily",
-    lambda d: reports.daily_totals_for_zip(d.transactions, d.raw_customers, d.branches, ZIP, YEAR, MONTH),
+    lambda d: reports.daily_totals_for_zip(d.stored("transactions"), d.raw_customers, d.branches, ZIP, YEAR, MONTH),
     DAILY_SQL.format(
         condition=f"b.BRANCH_ZIP = '{ZIP}' and year(t.txn_date) = {YEAR} and month(t.txn_date) = {MONTH}"
     ),
@@ -132,7 +132,7 @@ add(
 )
 add(
     "agg_monthly_bill",
-    lambda d: reports.monthly_bill(d.transactions, d.raw_customers, CARD, 3, 1996),
+    lambda d: reports.monthly_bill(d.stored("transactions"), d.raw_customers, CARD, 3, 1996),
     f"""select SSN, FIRST_NAME, LAST_NAME, {MONEY} as total_bill
         from dated t join rv_cust c on t.CREDIT_CARD_NO = c.CREDIT_CARD_NO
         where t.CREDIT_CARD_NO = '{CARD}' and year(txn_date) = 1996 and month(txn_date) = 3
@@ -149,7 +149,7 @@ add(
 RANGE_SQL = "cast(min(txn_date) as varchar) as first_date, cast(max(txn_date) as varchar) as last_date from dated"
 add(
     "agg_card_date_range",
-    lambda d: reports.card_date_range(d.transactions, CARD),
+    lambda d: reports.card_date_range(d.stored("transactions"), CARD),
     f"select {RANGE_SQL} where CREDIT_CARD_NO = '{CARD}'",
 )
 add(
@@ -192,8 +192,6 @@ CUSTOMER_COLUMNS = [
     "CREDIT_CARD_NO", "SSN", "CUST_EMAIL", "CUST_PHONE", "FIRST_NAME", "MIDDLE_NAME", "LAST_NAME", "APT_NO",
     "STREET_NAME", "CUST_CITY", "CUST_ZIP", "CUST_STATE", "CUST_COUNTRY", "LAST_UPDATED",
 ]
-# A card number has more digits than a double holds, so its mean is not comparable.
-DESCRIBED = [c for c in CUSTOMER_COLUMNS if c != "CREDIT_CARD_NO"]
 
 
 def _per_column(template: str, columns: list[str]) -> str:
@@ -201,9 +199,16 @@ def _per_column(template: str, columns: list[str]) -> str:
 
 
 def ten_digits(df, *names):
-    """Floating-point results rounded to the digits that do not depend on row order."""
-    text = {n: F.when(F.col(n).isNotNull(), F.format_string("%.9e", n)) for n in names}
-    return df.withColumns(text)
+    """Floating-point results rounded to the digits that do not depend on row order.
+
+    Sixteen-digit card numbers leave two for their deviation.
+    """
+
+    def text(n):
+        card = (F.col("column_name") == "CREDIT_CARD_NO") & F.lit(n == "stddev")
+        return F.when(F.col(n).isNotNull(), F.when(card, F.format_string("%.1e", n)).otherwise(F.format_string("%.9e", n)))
+
+    return df.withColumns({n: text(n) for n in names})
 
 
 add(
@@ -220,9 +225,7 @@ add(
 add(
     "agg_distinct_rows",
     lambda d: profile.distinct_rows(fan_out(d)),
-    """select count(*) as distinct_rows from (
-           select distinct c.SSN, z.CUST_CITY, z.CUST_STATE, z.CUST_COUNTY, z.AREA_CODE
-           from rv_cust c left join rv_zip z on c.CUST_ZIP = z.CUST_ZIP) as u""",
+    f"select count(*) as distinct_rows from (select distinct * from ({FANOUT_SQL}) as f) as u",
 )
 add(
     "agg_one_to_one_check",
@@ -244,8 +247,7 @@ add(
 add(
     "agg_duplicate_cards",
     lambda d: dedup.duplicate_values(fan_out(d), "CREDIT_CARD_NO"),
-    """select c.CREDIT_CARD_NO, count(*) as num_records from rv_cust c left join rv_zip z on c.CUST_ZIP = z.CUST_ZIP
-       group by 1 having count(*) > 1""",
+    f"select CREDIT_CARD_NO, count(*) as num_records from ({FANOUT_SQL}) as f group by 1 having count(*) > 1",
 )
 MISSING = "count(*) filter (where {c} is null or cast({c} as varchar) = '') as missing"
 add(
@@ -254,21 +256,21 @@ add(
     _per_column(f"select '{{c}}' as column_name, {MISSING} from rv_cust", CUSTOMER_COLUMNS),
 )
 DESCRIBE = """count({c}) as filled, printf('%.9e', avg(try_cast({c} as double))) as mean,
-    printf('%.9e', stddev_samp(try_cast({c} as double))) as stddev,
+    printf(case when '{c}' = 'CREDIT_CARD_NO' then '%.1e' else '%.9e' end, stddev_samp(try_cast({c} as double))) as stddev,
     cast(min({c}) as varchar) as lowest, cast(max({c}) as varchar) as highest"""
 add(
     "agg_describe",
-    lambda d: ten_digits(profile.describe_columns(d.raw_customers, DESCRIBED), "mean", "stddev"),
-    _per_column(f"select '{{c}}' as column_name, {DESCRIBE} from rv_cust", DESCRIBED),
+    lambda d: ten_digits(profile.describe_columns(d.raw_customers, CUSTOMER_COLUMNS), "mean", "stddev"),
+    _per_column(f"select '{{c}}' as column_name, {DESCRIBE} from rv_cust", CUSTOMER_COLUMNS),
 )
 add(
     "profile_table",
-    lambda d: ten_digits(profile.profile_table(d.raw_customers, DESCRIBED), "mean", "stddev"),
+    lambda d: ten_digits(profile.profile_table(d.raw_customers, CUSTOMER_COLUMNS), "mean", "stddev"),
     _per_column(
         f"""select '{{c}}' as column_name, {DESCRIBE}, {MISSING}, count(distinct {{c}}) as distinct_values,
                    count(*) as table_rows, (select count(*) from (select distinct * from rv_cust) as u) as table_distinct_rows
             from rv_cust""",
-        DESCRIBED,
+        CUSTOMER_COLUMNS,
     ),
 )
 add(

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from checks import feeds
-from checks.registry import add
+from checks.registry import add, as_feed
 from ledgerloom import schemas
 from ledgerloom.functions import cleaning as c
 from ledgerloom.operators.ranking import top_k
@@ -16,28 +16,23 @@ from ledgerloom.session import new_path
 from ledgerloom.sources import readers, writers
 
 
-def _feed(df, schema):
-    """A role view in the column types of its feed."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-
-
 # ---- scans ---------------------------------------------------------------------------
 
 
 def scan_transactions(d):
-    raw = _feed(d.raw_transactions, schemas.TRANSACTION_FEED)
+    raw = as_feed(d.raw_transactions, schemas.TRANSACTION_FEED)
     path = feeds.write_json_arrays(raw, "transaction-feed")
     return readers.read_json_records(d.spark, path, schemas.TRANSACTION_FEED)
 
 
 def scan_branches(d):
-    raw = _feed(d.raw_branches, schemas.BRANCH_FEED)
+    raw = as_feed(d.raw_branches, schemas.BRANCH_FEED)
     path = feeds.write_json_arrays(raw, "branch-feed")
     return readers.read_json_records(d.spark, path, schemas.BRANCH_FEED)
 
 
 def scan_customers(d):
-    raw = _feed(d.raw_customers, schemas.CUSTOMER_FEED)
+    raw = as_feed(d.raw_customers, schemas.CUSTOMER_FEED)
     path = feeds.write_json_arrays(raw, "customer-feed")
     return readers.read_json_records(d.spark, path, schemas.CUSTOMER_FEED)
 
@@ -209,7 +204,12 @@ def load_loans(d):
     return d.spark.table(_loan_table(d, feeds.write_json_lines(d.loans, "loan-feed")))
 
 
-add("etl_branch", lambda d: d.branches, "select * from br")
-add("etl_transactions", lambda d: d.transactions, "select * from tx")
-add("etl_customers", lambda d: d.customers, "select * from cu")
+def loaded(name):
+    """The whole job: feed in, table out, and the table read back."""
+    return lambda d: readers.read_table(d.spark, d.load(name))
+
+
+add("etl_branch", loaded("branches"), "select * from br")
+add("etl_transactions", lambda d: loaded("transactions")(d).drop("TXN_MONTH"), "select * from tx")
+add("etl_customers", loaded("customers"), "select * from cu")
 add("etl_loans", load_loans, "select * from rv_loan")

@@ -14,7 +14,17 @@ from checks import feeds
 from checks.role_views import VIEWS, frame, view_sql
 from ledgerloom import schemas
 from ledgerloom.plans import loads
-from ledgerloom.sources import readers, writers
+from ledgerloom.session import new_path
+from ledgerloom.sources import readers
+
+
+# Tables that a load job has written, by application, data and name: inputs of reports, made once per session.
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def as_feed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """A role view in the column types of its feed."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 class BankData:
@@ -56,10 +66,26 @@ class BankData:
     def customers(self) -> DataFrame:
         return loads.clean_customers(self.raw_customers, self.crosswalk)
 
-    @cached_property
-    def stored_customers(self) -> DataFrame:
-        """The customer table as the update jobs find it: written and read back."""
-        return writers.land(self.customers, "customers")
+    def load(self, name: str) -> str:
+        """Run a load job from a feed in its own format, and return the path of the table."""
+        path = new_path(self.spark, name)
+        if name == "branches":
+            feed = feeds.write_json_arrays(as_feed(self.raw_branches, schemas.BRANCH_FEED), "branch-feed")
+            loads.load_branches(self.spark, feed, path)
+        elif name == "transactions":
+            feed = feeds.write_json_arrays(as_feed(self.raw_transactions, schemas.TRANSACTION_FEED), "transaction-feed")
+            loads.load_transactions(self.spark, feed, path)
+        else:
+            feed = feeds.write_json_arrays(as_feed(self.raw_customers, schemas.CUSTOMER_FEED), "customer-feed")
+            loads.load_customers(self.spark, feed, feeds.write_headerless_csv(self.crosswalk, "crosswalk-feed"), path)
+        return path
+
+    def stored(self, name: str) -> DataFrame:
+        """The table of a load job as reports and updates find it."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STAGED:
+            _STAGED[key] = self.load(name)
+        return readers.read_table(self.spark, _STAGED[key])
 
     @cached_property
     def loans(self) -> DataFrame:
@@ -101,7 +127,7 @@ CLEANED = {
                         CUST_EMAIL) as CUST_EMAIL
         from cust_ranked""",
     "zip_area": """
-        select CUST_ZIP as area_zip, split_part(min(AREA_CODE), '/', 1) as area_code from rv_zip group by CUST_ZIP""",
+        select CUST_ZIP as area_zip, split_part(min(AREA_CODE), '/', 1) as area_code from rv_zip where trim(CUST_ZIP) <> '' group by CUST_ZIP""",
     "cust_all": """
         select SSN, FIRST_NAME, lower(MIDDLE_NAME) as MIDDLE_NAME,
                case when starts_with(LAST_NAME, 'Mc') and length(LAST_NAME) >= 3

@@ -2,7 +2,7 @@
 
 Each view is one FROM clause and one formula per column. The formulas use only functions
 that Spark and DuckDB share, so the same text serves both: ``frame`` evaluates it
-in Spark, ``ctes`` puts it in front of the SQL a query is checked against.
+in Spark, ``view_sql`` puts it in front of the SQL a query is checked against.
 """
 
 from __future__ import annotations
@@ -110,12 +110,12 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "LAST_UPDATED": stamp("s_suppkey"),
         },
     ),
-    # customers; null middle names, Mc names, shared e-mails with ties
+    # customers; null middle names, Mc names, shared e-mails with ties, SSNs of two people, blank and odd ZIPs
     "rv_cust": (
         "customer",
         {
             "CREDIT_CARD_NO": card("c_custkey"),
-            "SSN": "123450000 + c_custkey",
+            "SSN": "123450000 + c_custkey - (case when c_custkey % 50 = 1 then 1 else 0 end)",
             "CUST_EMAIL": f"concat(substring({_first}, 1, 1), {_last}, '@example.com')",
             "CUST_PHONE": "1000000 + (c_custkey * 7919) % 9000000",
             "FIRST_NAME": _first,
@@ -124,7 +124,8 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "APT_NO": text("c_custkey % 900"),
             "STREET_NAME": _street,
             "CUST_CITY": pick("c_custkey % 3", "ElPaso", "Natchez", "KingofPrussia"),
-            "CUST_ZIP": "cast(10000 + c_custkey % 400 as varchar(5))",
+            "CUST_ZIP": "(case when c_custkey % 97 = 0 then '' when c_custkey % 89 = 0 then '501-1' "
+            "else cast(10000 + c_custkey % 400 as varchar(5)) end)",
             "CUST_STATE": pick("c_nationkey % 25", *STATES),
             "CUST_COUNTRY": "'United States'",
             "LAST_UPDATED": stamp("c_custkey"),
@@ -134,7 +135,8 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
     "rv_zip": (
         "part",
         {
-            "CUST_ZIP": "cast(10000 + p_partkey % 350 as varchar(5))",
+            "CUST_ZIP": "(case when p_partkey % 59 = 0 then ' ' when p_partkey % 53 = 0 then '501-1' "
+            "when p_partkey % 61 = 0 then '' else cast(10000 + p_partkey % 350 as varchar(5)) end)",
             "CUST_STATE": pick("p_partkey % 25", *STATES),
             "CUST_CITY": "concat('City', cast(p_partkey % 60 as varchar(5)))",
             "CUST_COUNTY": "concat('County', cast(p_partkey % 30 as varchar(5)))",
@@ -160,12 +162,12 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "Self_Employed": "(case when o_orderpriority = '1-URGENT' then 'Yes' else 'No' end)",
         },
     ),
-    # change requests; valid, invalid, equal to the stored value, or for an unknown card
+    # change requests; valid, invalid, equal to the stored value, for an unknown card or none, or without a number
     "rv_req": (
         "orders join customer on o_custkey = c_custkey",
         {
-            "REQUEST_ID": "o_orderkey",
-            "CREDIT_CARD_NO": "(case when floor(o_orderkey / 10) % 4 = 3 "
+            "REQUEST_ID": "(case when o_orderkey % 43 = 0 then null else o_orderkey end)",
+            "CREDIT_CARD_NO": "(case when o_orderkey % 41 = 0 then null when floor(o_orderkey / 10) % 4 = 3 "
             f"then concat('9', lpad({text('o_custkey')}, 15, '0')) else {card('o_custkey')} end)",
             "FIELD": _requested_field,
             "NEW_VALUE": f"(case floor(o_orderkey / 10) % 4 when 1 then {_invalid_value} "

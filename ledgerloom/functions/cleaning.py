@@ -29,9 +29,9 @@ def restore_zip_zero(zip_code: Column, state: Column) -> Column:
 
 
 def zip_join_key(zip_code: Column) -> Column:
-    """The form in which ZIPs of two feeds are compared, leading zeros included."""
+    """The form in which ZIPs of two feeds are compared, leading zeros included; a blank one is no ZIP."""
     text = as_text(zip_code)
-    return F.when(F.length(text) < 5, F.lpad(text, 5, "0")).otherwise(text)
+    return F.when(F.trim(text) == "", F.lit(None).cast("string")).when(F.length(text) < 5, F.lpad(text, 5, "0")).otherwise(text)
 
 
 def format_ten_digit_phone(phone: Column) -> Column:

@@ -97,5 +97,5 @@ def currency_label(amount: Column, decimals: int = 2) -> Column:
 
 
 def thousands_label(number: Column) -> Column:
-    """``12,345``."""
-    return F.format_number(number, 0)
+    """``12,345``; a fraction is cut off, not rounded."""
+    return F.format_number(F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)), 0)

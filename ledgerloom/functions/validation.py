@@ -8,12 +8,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Letters mean any alphabet, digits any decimal digit.
-WORDS = r"^ *\p{L}[\p{L} ]*$"
-LETTERS = r"^\p{L}+$"
-FIVE_DIGITS = r"^\p{Nd}{5}$"
+# The end of the text is \z where a final newline is refused, $ where it is let pass.
+WORDS = r"^ *\p{L}[\p{L} ]*\z"
+LETTERS = r"^\p{L}+\z"
+FIVE_DIGITS = r"^\p{Nd}{5}\z"
 PHONE = r"^\(\p{Nd}{3}\)\p{Nd}{3}-\p{Nd}{4}$"
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
-MONTH_OF_YEAR = r"^(1[0-2]|0?[1-9])/\p{Nd}{4}$"
+MONTH_OF_YEAR = r"^(1[0-2]|0?[1-9])/\p{Nd}{4}\z"
+# The messages users know.
+INVALID_FIELD = "Invalid field: "
+INVALID_VALUE = "Invalid value for "
 
 
 def _words_up_to(limit: int) -> Callable[[Column], Column]:
@@ -40,8 +44,8 @@ def rejection_reason(field: Column, value: Column) -> Column:
     for name, rule in FIELD_RULES.items():
         valid = F.when(field == name, rule(value)).otherwise(valid)
     return (
-        F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit("Invalid field: "), F.coalesce(field, F.lit(""))))
-        .when(~F.coalesce(valid, F.lit(False)), F.concat(F.lit("Invalid value for "), field))
+        F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit(INVALID_FIELD), F.coalesce(field, F.lit(""))))
+        .when(~F.coalesce(valid, F.lit(False)), F.concat(F.lit(INVALID_VALUE), field))
     )
 
 

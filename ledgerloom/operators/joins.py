@@ -10,10 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleaning import first_area_code, zip_join_key
-from ledgerloom.operators.dedup import one_row_per_key
-
-FIVE_DIGIT_ZIP = r"^[0-9]{5}$"
-
 
 def with_customers(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """Transactions with their customer's SSN and names, matched on the card."""
@@ -27,34 +23,41 @@ def with_customers_and_branches(transactions: DataFrame, customers: DataFrame, b
     return with_customers(transactions.join(zips, "BRANCH_CODE"), customers)
 
 
-def changed_values(before: DataFrame, after: DataFrame, key: str, column: str, keep: list[str]) -> DataFrame:
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else key
+
+
+def repeated_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """Keys that do not identify a row, with their number of rows: to be looked at before snapshots are compared."""
+    return df.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias("num_records")).filter("num_records > 1")
+
+
+def changed_values(
+    before: DataFrame, after: DataFrame, key: str | list[str], column: str, keep: list[str], null_safe: bool = False
+) -> DataFrame:
     """Rows of a table whose ``column`` differs between two snapshots of it.
 
-    The key identifies a row. Both sides are reduced to one row per key on the
-    partitioning the join needs anyway, so a key that does repeat cannot multiply.
+    The columns of ``key`` should identify a row. The rows are joined as they are: where a key repeats, every
+    old row meets every new one, so no change is lost and none is made up from two rows. A value that
+    appears or disappears is a change only with ``null_safe``.
     """
-    old = one_row_per_key(before.select(key, *keep, F.col(column).alias("original_value")), key)
-    new = one_row_per_key(after.select(key, F.col(column).alias("updated_value")), key)
-    return old.join(new, key).filter(F.col("original_value") != F.col("updated_value"))
+    keys = _keys(key)
+    old = before.select(*keys, *[c for c in keep if c not in keys], F.col(column).alias("original_value"))
+    new = after.select(*keys, F.col(column).alias("updated_value"))
+    was, now = F.col("original_value"), F.col("updated_value")
+    return old.join(new, keys).filter(~was.eqNullSafe(now) if null_safe else was != now)
 
 
-def patch_column(original: DataFrame, updated: DataFrame, key: str, column: str) -> DataFrame:
+def patch_column(original: DataFrame, updated: DataFrame, key: str | list[str], column: str) -> DataFrame:
     """``original`` with ``column`` replaced where ``updated`` has a value for the key.
 
-    The patches are grouped by the key inside a struct, so that the join shuffles them
-    anew: AQE splits a key with very many original rows only if neither side of the join
-    is an aggregate that already has the join's partitioning.
+    A plain left join, so AQE can split a key with very many original rows. A key with several patches gives a
+    row for each: none is dropped in silence, and ``repeated_keys`` tells of it.
     """
-    patch = (
-        updated.groupBy(F.struct(F.col(key).alias("__patch_key")).alias("__group"))
-        .agg(F.min(column).alias("__patch"))
-        .select("__group.__patch_key", "__patch")
-    )
-    return (
-        original.join(patch, F.col(key) == F.col("__patch_key"), "left")
-        .withColumn(column, F.coalesce("__patch", column))
-        .select(original.columns)
-    )
+    names = {k: f"__patch_{i}" for i, k in enumerate(_keys(key))}
+    patch = updated.select(*[F.col(k).alias(n) for k, n in names.items()], F.col(column).alias("__patch"))
+    on = [F.col(k) == F.col(n) for k, n in names.items()]
+    return original.join(patch, on, "left").withColumn(column, F.coalesce("__patch", column)).select(original.columns)
 
 
 def with_crosswalk_rows(customers: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -75,24 +78,23 @@ def with_crosswalk_rows(customers: DataFrame, crosswalk: DataFrame) -> DataFrame
 
 
 def area_code_by_zip(crosswalk: DataFrame) -> DataFrame:
-    """One area code for each five-digit ZIP: the first of its lists in text order.
+    """One area code for each ZIP, whatever its form: the first of its lists in text order.
 
-    ZIPs of five digits bound this table to 100,000 rows, which makes it safe to
-    broadcast; a crosswalk entry under any other ZIP matches no address.
+    Grouped inside a struct, so that a join shuffles the table anew and AQE may split a ZIP with very many customers.
     """
     return (
-        crosswalk.withColumn("__zip", zip_join_key(F.col("CUST_ZIP")))
-        .filter(F.col("__zip").rlike(FIVE_DIGIT_ZIP))
-        .groupBy("__zip")
+        crosswalk.select(F.struct(zip_join_key(F.col("CUST_ZIP")).alias("__zip")).alias("__group"), "AREA_CODE")
+        .filter("__group.__zip is not null")
+        .groupBy("__group")
         .agg(first_area_code(F.min("AREA_CODE")).alias("AREA_CODE"))
+        .select("__group.__zip", "AREA_CODE")
     )
 
 
 def with_area_code(customers: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """Customers with the area code of their ZIP, one row each, without a shuffle of them."""
+    """Customers with the area code of their ZIP, one row each; Spark broadcasts the codes if they are few."""
     left = customers.withColumn("__left_zip", zip_join_key(F.col("CUST_ZIP")))
-    codes = F.broadcast(area_code_by_zip(crosswalk))
-    return left.join(codes, F.col("__left_zip") == F.col("__zip"), "left").drop("__left_zip", "__zip")
+    return left.join(area_code_by_zip(crosswalk), F.col("__left_zip") == F.col("__zip"), "left").drop("__left_zip", "__zip")
 
 
 def features_with_counts(features: DataFrame, counts: DataFrame, name: str, value: str) -> DataFrame:

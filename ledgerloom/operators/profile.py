@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,18 +58,27 @@ def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 
 def _values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row for each cell: column name and value as text."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    """One row for each cell: column name and value as text; the two zeros of a floating-point column are one."""
+
+    def text(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            column = F.when(column == 0, F.abs(column)).otherwise(column)
+        return column.cast("string").alias(name)
+
+    return df.select(*[text(c) for c in columns]).unpivot([], columns, "column_name", "value")
 
 
 def distinct_per_column(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Distinct non-null values of each column.
 
     Cells are narrow rows with one distinct aggregate over them. Several distinct
-    aggregates side by side would copy the whole row once for each column.
+    aggregates side by side would copy the whole row once for each column. A column of an empty table has 0.
     """
-    cells = _values(df, columns or df.columns)
-    return cells.groupBy("column_name").agg(F.countDistinct("value").alias("distinct_values"))
+    columns = columns or df.columns
+    counted = _values(df, columns).groupBy("column_name").agg(F.countDistinct("value").alias("distinct_values"))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
+    return names.join(counted, "column_name", "left").fillna(0, ["distinct_values"])
 
 
 def row_totals(df: DataFrame) -> DataFrame:

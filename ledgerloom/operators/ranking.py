@@ -2,38 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.hotkeys import attach_by_key, null_safe_match
+from ledgerloom.operators.hotkeys import attach_by_key
+from ledgerloom.operators.running_totals import with_running_total
 
 
 def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> DataFrame:
-    """``rank() OVER (PARTITION BY group ORDER BY order NULLS FIRST)`` for a text ``order``.
+    """``rank() OVER (PARTITION BY group ORDER BY order NULLS FIRST)``.
 
-    A row's rank is one plus the number of rows of its group that sort before it, so
-    it follows from counts: rows are first reduced to distinct (group, order) pairs,
-    pairs are summed per leading character, and only those sums are accumulated
-    over the whole group. No window ever sees the rows themselves.
+    A row's rank is one plus the number of rows of its group that sort before it, so it follows from the running total of
+    counts of distinct (group, order) pairs. These are dealt by ranges of both columns: a group whose
+    values are many fills as many ranges as it needs. No window ever sees the rows themselves.
     """
     counted = df.groupBy(group, order).agg(F.count(F.lit(1)).alias("__n"))
-    pairs = counted.withColumn("__head", F.substring(order, 1, 1))
-    heads = pairs.groupBy(group, "__head").agg(F.sum("__n").alias("__head_n"))
-
-    earlier = (Window.unboundedPreceding, -1)
-    over_heads = Window.partitionBy(group).orderBy(F.col("__head").asc_nulls_first()).rowsBetween(*earlier)
-    over_pairs = (
-        Window.partitionBy(group, "__head").orderBy(F.col(order).asc_nulls_first()).rowsBetween(*earlier)
-    )
-    before_head = heads.select(
-        F.col(group).alias("__group"),
-        F.col("__head").alias("__head_key"),
-        F.coalesce(F.sum("__head_n").over(over_heads), F.lit(0)).alias("__before_head"),
-    )
-    within_head = pairs.withColumn("__before_pair", F.coalesce(F.sum("__n").over(over_pairs), F.lit(0)))
-    ranked = within_head.join(before_head, null_safe_match([group, "__head"], ["__group", "__head_key"])).select(
-        group, order, "__n", (F.lit(1) + F.col("__before_head") + F.col("__before_pair")).alias(name)
-    )
+    running = with_running_total(counted, [group], [F.col(order).asc_nulls_first()], "__n", "__before")
+    ranked = running.select(group, order, "__n", (F.lit(1) + F.col("__before")).alias(name))
     return attach_by_key(df, ranked, [group, order], [name], weight="__n")
 
 

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.validation import FIELD_RULES, rejection_reason
+from ledgerloom.sources.writers import land
 
 FIELDS = list(FIELD_RULES)
 BLOCK_ROWS = 1_000_000
+MOST_BLOCKS = 256
 
 
 def accepted_requests(requests: DataFrame) -> DataFrame:
@@ -24,7 +26,8 @@ def _latest_values(requests: DataFrame) -> DataFrame:
 
     def latest(field: str) -> Column:
         asked = F.col("FIELD") == field
-        return F.max_by(F.when(asked, F.col("NEW_VALUE")), F.when(asked, F.col("REQUEST_ID"))).alias(f"__{field}")
+        newest = F.max(F.when(asked, F.struct("REQUEST_ID", "NEW_VALUE")))
+        return newest.getField("NEW_VALUE").alias(f"__{field}")
 
     return accepted_requests(requests).groupBy("CREDIT_CARD_NO").agg(*[latest(field) for field in FIELDS])
 
@@ -43,27 +46,39 @@ def apply_changes(customers: DataFrame, requests: DataFrame, null_safe: bool = F
     return joined.select(*[value(column) for column in customers.columns])
 
 
+def _block_number(requests: DataFrame, block_rows: int) -> Column:
+    """Block of a request: ranges of ``REQUEST_ID`` with about ``block_rows`` rows each, by sampled quantiles.
+
+    Numbers may be dense or sparse. Requests without a number are block -1, before all others.
+    """
+    wanted = min(MOST_BLOCKS, requests.count() // block_rows + 1)
+    shares = [i / wanted for i in range(1, wanted)]
+    bounds = requests.approxQuantile("REQUEST_ID", shares, 0.2 / wanted) if shares else []
+    number = F.col("REQUEST_ID")
+    passed = F.filter(F.array(*[F.lit(int(b)) for b in bounds]), lambda b: b < number) if bounds else F.array()
+    return F.when(number.isNull(), -1).otherwise(F.size(passed))
+
+
 def _with_previous_request(requests: DataFrame, block_rows: int) -> DataFrame:
     """Add ``previous``: the value of the last earlier request for the same card and field.
 
     One card may hold a large part of all requests, so the look-back runs in blocks of
-    request numbers: within a block by a window over that block, and across blocks by a
-    window over one row per block.
+    requests: within a block by a window over that block, and across blocks by a
+    window over one row per block. Requests without a number come first, requests of one number in order
+    of their value. A request without a card has none before it.
     """
     target = ["CREDIT_CARD_NO", "FIELD"]
-    number = F.col("REQUEST_ID")
-    blocks = requests.withColumn("__block", number - F.pmod(number, F.lit(block_rows)))
-    in_block = Window.partitionBy(*target, "__block").orderBy("REQUEST_ID")
+    nobody = requests.filter("CREDIT_CARD_NO is null").withColumn("previous", F.lit(None).cast("string"))
+    blocks = requests.filter("CREDIT_CARD_NO is not null").withColumn("__block", _block_number(requests, block_rows))
+    in_block = Window.partitionBy(*target, "__block").orderBy("REQUEST_ID", "NEW_VALUE")
     lagged = blocks.withColumn("__previous", F.lag("NEW_VALUE").over(in_block))
 
-    last = blocks.groupBy(*target, "__block").agg(F.max_by("NEW_VALUE", "REQUEST_ID").alias("__last"))
+    newest = F.max(F.struct("REQUEST_ID", "NEW_VALUE")).getField("NEW_VALUE")
+    last = blocks.groupBy(*target, "__block").agg(newest.alias("__last"))
     over_blocks = Window.partitionBy(*target).orderBy("__block")
     carried = last.select(*target, "__block", F.lag("__last").over(over_blocks).alias("__carried"))
-    return (
-        lagged.join(carried, [*target, "__block"])
-        .withColumn("previous", F.coalesce("__previous", "__carried"))
-        .select(*requests.columns, "previous")
-    )
+    found = lagged.join(carried, [*target, "__block"]).withColumn("previous", F.coalesce("__previous", "__carried"))
+    return found.select(*requests.columns, "previous").unionByName(nobody)
 
 
 def audit_changes(
@@ -71,9 +86,11 @@ def audit_changes(
 ) -> DataFrame:
     """For each request: value before, value after, and what happened to it.
 
-    ``status`` is ``rejected`` (with a reason), ``no_account``, ``unchanged`` or ``changed``.
+    ``status`` is ``rejected`` (with a reason), ``no_account``, ``unchanged`` or ``changed``. A request without a
+    card has no account; one without a number comes before all that have one. The judged requests are written
+    first, as they are read several times and their feed should be parsed once.
     """
-    judged = requests.withColumn("reason", rejection_reason(F.col("FIELD"), F.col("NEW_VALUE")))
+    judged = land(requests.withColumn("reason", rejection_reason(F.col("FIELD"), F.col("NEW_VALUE"))), "judged-requests")
     refused = judged.filter(F.col("reason").isNotNull()).select(
         *requests.columns,
         F.lit(None).cast("string").alias("value_before"),

@@ -123,5 +123,5 @@ def load_loans(
     loans = readers.read_loans(spark, feed, multiline)
     writers.ensure_table(spark, table, schemas.LOAN, path)
     if only_new:
-        loans = loans.join(spark.table(table).select("Application_ID"), "Application_ID", "left_anti")
+        loans = writers.new_rows(loans, spark.table(table), ["Application_ID"])
     writers.append_to_table(loans, table)

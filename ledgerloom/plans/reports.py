@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleaning import TIME_ID_FORMAT, time_id_month, time_id_to_date
@@ -176,22 +176,18 @@ def _status_counts(loans: DataFrame) -> DataFrame:
     )
 
 
-def _cohort_sizes(counts: DataFrame, cohorts: list[str]) -> Column:
-    """Size of every cohort as one scalar struct, from the few rows of ``counts``."""
-    return counts.agg(F.struct(*[F.sum(name).alias(name) for name in cohorts])).scalar()
+def _with_shares(counts: DataFrame, cohorts: list[str]) -> DataFrame:
+    """Add the percentage of each status in each cohort; the window sees one row for each status."""
+    everything = Window.partitionBy()
+    return counts.select("*", *[percent(F.col(n), F.sum(n).over(everything)).alias(f"{n}_share") for n in cohorts])
 
 
 def status_shares(loans: DataFrame) -> DataFrame:
     """Applications and percentage of each status in each cohort, from one pass over the loans."""
     cohorts = ["all_applicants", *COHORTS]
-    counts = _status_counts(loans)
-    sizes = _cohort_sizes(counts, cohorts)
+    counts = _with_shares(_status_counts(loans), cohorts)
     rows = [
-        F.struct(
-            F.lit(name).alias("cohort"),
-            F.col(name).alias("applications"),
-            percent(F.col(name), sizes.getField(name)).alias("share"),
-        )
+        F.struct(F.lit(name).alias("cohort"), F.col(name).alias("applications"), F.col(f"{name}_share").alias("share"))
         for name in cohorts
     ]
     return counts.select("Application_Status", F.inline(F.array(*rows))).filter(F.col("applications") > 0)
@@ -200,10 +196,8 @@ def status_shares(loans: DataFrame) -> DataFrame:
 def approval_comparison(loans: DataFrame) -> DataFrame:
     """Self-employed next to all applicants (who include them), from one pass over the loans."""
     cohorts = ["self_employed", "all_applicants"]
-    counts = _status_counts(loans)
-    sizes = _cohort_sizes(counts, cohorts)
-    shares = [percent(F.col(name), sizes.getField(name)).alias(f"{name}_share") for name in cohorts]
-    return counts.select("Application_Status", *cohorts, *shares)
+    counts = _with_shares(_status_counts(loans), cohorts)
+    return counts.select("Application_Status", *cohorts, *[f"{name}_share" for name in cohorts])
 
 
 # ---- cards, bills and statements -----------------------------------------------------
@@ -213,12 +207,12 @@ HOLDER = ["SSN", "FIRST_NAME", "LAST_NAME", "CREDIT_CARD_NO"]
 
 
 def _spending_by_day(located: DataFrame) -> DataFrame:
-    """Total by card, branch ZIP and day of transactions that carry their ``BRANCH_ZIP``."""
-    return (
-        located.groupBy("CREDIT_CARD_NO", "BRANCH_ZIP", "TIMEID")
-        .agg(exact_sum("TRANSACTION_VALUE").alias("total"))
-        .withColumn("transaction_date", time_id_to_date(F.col("TIMEID")))
-    )
+    """Total by card, branch ZIP and day of transactions that carry their ``BRANCH_ZIP``.
+
+    Grouped by the date itself: all ``TIMEID`` texts that are no date are one group.
+    """
+    dated = located.withColumn("transaction_date", time_id_to_date(F.col("TIMEID")))
+    return dated.groupBy("CREDIT_CARD_NO", "BRANCH_ZIP", "transaction_date").agg(exact_sum("TRANSACTION_VALUE").alias("total"))
 
 
 def _daily_columns(df: DataFrame) -> DataFrame:

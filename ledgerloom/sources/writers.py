@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.session import new_path
@@ -14,16 +15,25 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def new_rows(df: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
+    """One row for each key that ``stored`` does not hold, the smallest in column order; null is a key like any other."""
+    rest = [c for c in df.columns if c not in keys]
+    once = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row")).select(*keys, "__row.*").select(df.columns)
+    if stored is None:
+        return once
+    held = stored.select(*[F.col(k).alias(f"__held_{i}") for i, k in enumerate(keys)])
+    return once.join(held, [F.col(k).eqNullSafe(F.col(f"__held_{i}")) for i, k in enumerate(keys)], "left_anti")
+
+
 def append_new_rows(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Add only rows whose key the table does not hold yet, so that a rerun changes nothing."""
+    """Add only rows whose key the table does not hold yet, one for each key, so that a rerun changes nothing."""
     try:
-        stored = df.sparkSession.read.parquet(path).select(*keys)
+        stored = df.sparkSession.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        append_rows(df, path)
-        return
-    append_rows(df.join(stored, keys, "left_anti"), path)
+        stored = None
+    append_rows(new_rows(df, stored, keys), path)
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
@@ -65,9 +75,10 @@ def append_to_table(df: DataFrame, name: str) -> None:
     df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
 
 
-def jdbc_write_options(url: str, table: str, partitions: int = 8, batch_rows: int = 10_000) -> dict[str, str]:
-    """Options for a parallel, batched write over at most ``partitions`` connections."""
-    return {"url": url, "dbtable": table, "numPartitions": str(partitions), "batchsize": str(batch_rows)}
+def jdbc_write_options(url: str, table: str, partitions: int | None = None, batch_rows: int = 10_000) -> dict[str, str]:
+    """Options for a batched write, over at most ``partitions`` connections if the database needs such a limit."""
+    limit = {} if partitions is None else {"numPartitions": str(partitions)}
+    return {"url": url, "dbtable": table, "batchsize": str(batch_rows), **limit}
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, user: str, password: str, mode: str, **tuning) -> None:
