@@ -40,7 +40,7 @@ def test_customers_keep_every_card_once(data):
 
 def test_left_joins_keep_every_customer(data):
     fan_out = joins.with_crosswalk_rows(data.raw_customers, data.crosswalk)
-    assert fan_out.select("SSN").distinct().count() == data.raw_customers.count()
+    assert fan_out.select("CREDIT_CARD_NO").distinct().count() == data.raw_customers.count()
     assert joins.with_area_code(data.raw_customers, data.crosswalk).count() == data.raw_customers.count()
 
 
