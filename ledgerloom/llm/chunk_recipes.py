@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.textbytes import id_and_text, slices
-from ledgerloom.operators.hotkeys import attach_by_key
+from ledgerloom.operators.hotkeys import attach_by_key, broadcast_if_at_most
 from ledgerloom.sources.writers import land
 
 WINDOW = 32
 DIGEST_BYTES = 16
+BROADCAST_ROWS = 500_000
 _GEAR = np.random.default_rng(20_240_501).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -188,7 +189,8 @@ def keep_decided(documents: DataFrame, decided: DataFrame) -> DataFrame:
         F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("sha")
     )
     same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha"))
-    kept = rows.join(odd.select("__id", "__sha"), same, "left_anti").select("row.*")
+    # few dropped rows are sent to the texts; many, and the texts are shuffled to them
+    kept = rows.join(broadcast_if_at_most(odd.select("__id", "__sha"), BROADCAST_ROWS), same, "left_anti").select("row.*")
     one_of_several = odd.filter("n_kept > 0")
     if one_of_several.isEmpty():
         return kept
