@@ -20,7 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 LOWER_BYTES = LOWER.tobytes()
 
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
