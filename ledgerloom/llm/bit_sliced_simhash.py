@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.chunk_recipes import keep_decided
 from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.similar_sets import similar_components
 from ledgerloom.llm.textbytes import LOWER_BYTES, id_and_text, mix
 from ledgerloom.operators.hotkeys import attach_by_key, broadcast_if_at_most
 from ledgerloom.sources.writers import land
@@ -34,10 +35,6 @@ PLANES_BETWEEN_LOOKS = 8
 PAIRS_AT_ONCE = 1 << 16
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-# For similar rather than nearly equal texts: five-word shingles, 128 bits. Two texts whose shingle sets have a
-# Jaccard similarity of 0.8 differ in 16 or 17 bits on average, with a deviation of 4.
-SIMILAR = {"shingle_words": 5, "bits": 128, "radius": 22, "tables": 32}
-
 
 def _digest64(data: bytes) -> bytes:
     return xxhash.xxh64_intdigest(data, SEED).to_bytes(8, "little")
@@ -334,13 +331,12 @@ def simhash_components(
     return attach_by_key(rows, per_value.select("bits", "component_id", "component_rows", "n"), ["bits"], ["component_id", "component_rows"], "n")
 
 
-def without_near_copies(documents: DataFrame, **options: int) -> DataFrame:
+def without_near_copies(documents: DataFrame, **options: float) -> DataFrame:
     """``documents``, all columns, with one row of each component: the one with the smallest id.
 
-    ``options`` default to ``SIMILAR``, for a shingle similarity of 0.8 or more.
+    Components are those of ``similar_sets``: links are shingle similarities of 0.8 or more, each verified.
     """
-    options = {**SIMILAR, **options}
-    found = land(simhash_components(documents, **options), "components")
+    found = land(similar_components(documents, **options), "components")
     several = found.filter("component_rows > 1")
     first = several.filter("doc_id <=> component_id").groupBy("component_id").agg(F.min("row").alias("__first"), F.max("component_rows").alias("__n"))
     chosen = attach_by_key(several, first, ["component_id"], ["__first"], "__n")

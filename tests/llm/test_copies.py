@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 
 from ledgerloom.llm import bit_sliced_simhash as simhash
-from ledgerloom.llm import chunk_recipes
+from ledgerloom.llm import chunk_recipes, similar_sets
 from ledgerloom.llm.components import connected_components
 from tests.llm.conftest import LONG, ODD
 
@@ -178,6 +178,49 @@ def test_similar_texts_are_found_and_others_left(documents):
     assert sorted(r.doc_id for r in left) == [10 * i for i in range(40)]
 
 
+def text_pair(draw, similarity, size=400):
+    """Two texts of so many different words whose five-word shingle sets have about the given Jaccard similarity, and their sets."""
+    words = [f"w{draw.randrange(10**9)}" for _ in range(size)]
+    other = list(words)
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    jaccard = lambda: len(shingles(words) & shingles(other)) / len(shingles(words) | shingles(other))
+    at = size
+    while at and jaccard() > similarity:
+        at -= 1
+        other[at] = f"x{draw.randrange(10**9)}"
+    return " ".join(words), " ".join(other), jaccard()
+
+
+def test_similar_means_a_shingle_similarity_of_08(documents):
+    draw, pairs, want = random.Random(4), [], set()
+    for i, similarity in enumerate([0.6, 0.7, 0.75, 0.79, 0.801, 0.805, 0.85, 0.9] * 15):
+        one, two, exact = text_pair(draw, similarity)
+        # the step below the wanted value undone, so that 0.801 stays above 0.8
+        two = two if exact >= 0.8 or similarity < 0.8 else one
+        pairs += [(2 * i, one), (2 * i + 1, two)]
+        want |= {2 * i, 2 * i + 1} if similarity < 0.8 else {2 * i}
+    for cell_shingles in (1 << 20, 300):
+        left = {r.doc_id for r in simhash.without_near_copies(documents(*pairs), cell_shingles=cell_shingles).collect()}
+        assert left == want
+
+
+def test_similar_components_against_brute_force(documents):
+    draw = random.Random(6)
+    base = [f"w{k}" for k in range(80)]
+    texts = [" ".join(f"x{draw.randrange(10**6)}" if draw.random() < 0.012 else w for w in base) for _ in range(150)]
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in texts]
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and parent[i] != parent[j]:
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    for cell_shingles in (1 << 20, 1000):
+        rows = similar_sets.similar_components(documents(*enumerate(texts)), cell_shingles=cell_shingles).collect()
+        assert [r.component_id for r in sorted(rows, key=lambda r: r.doc_id)] == parent
+    assert 1 < len(set(parent)) < len(texts)
+
+
 def test_components_of_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(500, i) for i in range(1, 40)] + [(7, 7), (3, 2)]
