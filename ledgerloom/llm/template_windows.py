@@ -1,16 +1,18 @@
 """Benchmark decontamination by templates, so that a question with other numbers or names is found too.
 
-Numbers, units and names become typed slots; windows of template tokens are hashed and joined. For windows with slots,
-the values that stand in them are compared: one benchmark value must stand for one value of the
-document throughout, as when a question is asked again with other figures.
+Numbers, units and names become typed slots; windows of template tokens are hashed and joined, and so are the same windows
+with their values in lower case. For windows with slots, the values that stand in them are compared: within one
+occurrence, one benchmark value must stand for one value of the document throughout, as when a question is asked again with other figures.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.hotkeys import broadcast_if_at_most
+from ledgerloom.operators.hotkeys import broadcast_if_at_most, null_safe_match
 from ledgerloom.sources.writers import land
 
 WINDOW = 5
@@ -18,53 +20,103 @@ COVERAGE = 0.8
 LITERALS = 2
 BROADCAST_WINDOWS = 500_000
 
-NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
+# FIRST marks a capitalised word that begins a sentence: it may be a name or not, and is taken both ways
+NUMBER, NAME, UNIT, FIRST = "\x01", "\x02", "\x03", "\x04"
+PAIR = ["doc_id", "text_hash", "item_id"]
 UNITS = (
     "%|°|€|kg|g|mg|km|cm|mm|m|mi|miles?|feet|ft|inch(?:es)?|lbs?|pounds?|litres?|liters?|ml|l|hours?|hrs?|h|minutes?|min|"
     "seconds?|sec|s|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|degrees?|mph|kmh|watts?|kw|w|volts?|v"
 )
 # a capital inside a sentence, its other letters small
 NAME_PATTERN = r"\p{Lu}(?<=[^.!?:\s\x22(] \p{Lu})\p{Ll}+"
-# a number with the unit after it; a number without one has an empty unit slot
+FIRST_PATTERN = r"(?<![\p{L}\p{N}\x02])\p{Lu}\p{Ll}+"
+# a number with the unit after it, if it has one
 NUMBER_PATTERN = rf"([0-9]+)(?:[ ]?((?i:{UNITS}))(?![\p{{L}}0-9]))?"
 
 
 def template_tokens(text: Column) -> Column:
     """Lower-case tokens of letters and digits; a slot is its type mark followed by its value."""
     names = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), NAME_PATTERN, f"{NAME}$0")
+    names = F.regexp_replace(names, FIRST_PATTERN, f"{FIRST}$0")
     numbers = F.regexp_replace(names, NUMBER_PATTERN, f" {NUMBER}$1 {UNIT}$2 ")
-    return F.array_remove(F.split(F.lower(numbers), r"[^\p{L}\p{N}\x01-\x03]+", -1), "")
+    return F.array_remove(F.array_remove(F.split(F.lower(numbers), r"[^\p{L}\p{N}\x01-\x04]+", -1), ""), UNIT)
+
+
+def _value(token: Column) -> Column:
+    return F.when(token < F.lit("\x05"), F.substring(token, 2, 1 << 30)).otherwise(token)
+
+
+def _type(token: Column) -> Column:
+    """The mark of a slot, the word itself otherwise; a word that begins a sentence is no slot."""
+    return F.when(token < F.lit(FIRST), F.substring(token, 1, 1)).otherwise(_value(token))
+
+
+def _type_with_first(token: Column) -> Column:
+    """The same, but a capitalised word that begins a sentence is a name."""
+    return F.when(token.startswith(FIRST), F.lit(NAME)).otherwise(_type(token))
+
+
+READINGS = (_value, _type, _type_with_first)
+
 
+def _hashes(tokens: Column, read: Callable[[Column], Column]) -> Column:
+    return F.transform(tokens, lambda t: F.xxhash64(read(t)))
 
-def _is_slot(token: Column) -> Column:
-    return token < F.lit("\x04")
 
+def _hashed(tokens: Column, start: Column, window: int) -> Column:
+    return F.xxhash64(*[F.get(tokens, start + k) for k in range(window)])
 
-def _types(tokens: Column) -> Column:
-    return F.transform(tokens, lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
 
+def _window_hashes(tokens: Column, window: int, lengths: list[int]) -> Column:
+    """Of each position, the hashes of its window by values and by types, and by values of its shorter windows of ``lengths``.
 
-def _window_hashes(hashes: Column, window: int) -> Column:
-    """Hashes of all windows; the array is bound to a name first, so that it is built once and not for each window."""
+    The arrays are bound to a name first, so that they are built once and not for each window.
+    """
+
+    def windows(read: Column) -> Column:
+        values, *types = (read[f"r{i}"] for i in range(len(READINGS)))
+        last = F.size(values) - (min(lengths) if lengths else window)
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
-    def windows(own: Column) -> Column:
-        starts = F.when(F.size(own) >= window, F.sequence(F.lit(0), F.size(own) - window)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.xxhash64(*[F.get(own, i + k) for k in range(window)]))
+        def hashes(i: Column) -> Column:
+            shorter = [_hashed(values, i, n) for n in lengths]
+            return F.array_distinct(F.array(*[_hashed(v, i, window) for v in (values, *types)], *shorter))
 
-    return F.get(F.transform(F.array(hashes), windows), 0)
+        return F.transform(starts, hashes)
 
+    def read(own: Column) -> Column:
+        return F.struct(*[_hashes(own, f).alias(f"r{i}") for i, f in enumerate(READINGS)])
 
-def _slots(tokens: Column, start: Column, window: int) -> Column:
-    return F.filter(F.slice(tokens, start + 1, window), _is_slot)
+    bound = F.transform(F.array(tokens), read)
+    return F.get(F.transform(bound, windows), 0)
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """``item_id, item_pos, hash, slots, n_windows`` of each window with ``literals`` plain words at least."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), template_tokens(F.col("text")).alias("tokens")).distinct()
-    hashed = items.select("item_id", "tokens", F.posexplode(_window_hashes(_types(F.col("tokens")), window)).alias("item_pos", "hash"))
-    told = hashed.withColumn("slots", _slots(F.col("tokens"), F.col("item_pos"), window)).filter(F.size("slots") <= window - literals)
-    n = told.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows")).withColumnRenamed("item_id", "__item")
-    return told.join(n, F.col("item_id").eqNullSafe(F.col("__item"))).select("item_id", "item_pos", "hash", "slots", "n_windows")
+    """``item_id, item_pos, hash, types, slots, length, poor, n_windows, n_poor``: each window by its values and, with slots, by its types.
+
+    ``types`` are its words or marks, ``slots`` the places of its slots and what the item has there; both are empty for a window by values.
+    A window by types that has fewer than ``literals`` plain words is ``poor``: it is not searched for, only looked up beside others.
+    An item shorter than a window is one window by values of its whole ``length``.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), template_tokens(F.col("text")).alias("tokens")).distinct().filter(F.size("tokens") > 0)
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("tokens") - window))
+    placed = items.select("item_id", F.posexplode(F.transform(starts, lambda i: F.slice(F.col("tokens"), i + 1, window))).alias("item_pos", "own"))
+    placed = placed.withColumn("length", F.size("own"))
+    none = F.array().cast("array<string>")
+
+    def reading(f: Callable[[Column], Column], slotted: bool) -> Column:
+        types = F.transform("own", f)
+        slots = F.filter(
+            F.transform("own", lambda t, k: F.struct(k.alias("place"), F.concat(f(t), _value(t)).alias("item_value"), f(t).alias("mark"))),
+            lambda s: F.lit(slotted) & (s["mark"] < F.lit(FIRST)) & (F.col("length") == window),
+        )
+        return F.struct(_hashed(_hashes(F.col("own"), f), F.lit(0), window).alias("hash"), (types if slotted else none).alias("types"), slots.alias("slots"))
+
+    read = placed.select("item_id", "item_pos", "length", F.explode(F.array_distinct(F.array(*[reading(f, f is not _value) for f in READINGS]))).alias("r"))
+    told = read.select("item_id", "item_pos", "length", "r.*").filter((F.size("types") == 0) | (F.size("slots") > 0))
+    told = told.withColumn("poor", F.size("slots") > window - literals).distinct()
+    n = told.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"), F.count_distinct(F.when(F.col("poor"), F.col("item_pos"))).alias("n_poor"))
+    return told.join(n.withColumnRenamed("item_id", "__item"), F.col("item_id").eqNullSafe(F.col("__item"))).drop("__item")
 
 
 def _identity() -> list[Column]:
@@ -75,50 +127,82 @@ def _same() -> Column:
     return F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
 
 
+def _beside(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join that matches null keys, with the columns of ``left`` and what else ``right`` has."""
+    names = [f"__{k}" for k in keys]
+    joined = left.join(right.withColumnsRenamed(dict(zip(keys, names))), null_safe_match(keys, names), how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*names)
+
+
 def leaked_items(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, text_hash, item_id, n_windows, n_matched, n_reworded`` of each benchmark item that a document holds.
 
-    An item is held if ``coverage`` of its template windows occur in the document, windows with slots counting only under
-    the value most often put for each of the item's values. ``n_reworded`` counts matched windows
-    with a value other than the item's own. Null and empty texts, and items shorter than a window,
-    hold and match nothing; rows that repeat count once; a null ``item_id`` or ``doc_id`` is an id like any
-    other. Either table may be empty. Other columns are ignored.
+    An item is held if ``coverage`` of its windows occur in the document: with the item's own values, in whatever case and place, or
+    within one occurrence, or the whole document, with the value most often put there for each of the item's values; the best
+    occurrence counts. ``n_reworded`` counts matched windows with no copy of the item's own values. An item shorter than a
+    window is held if all its words follow each other. Null and empty texts hold and match nothing; rows that repeat count once;
+    a null ``item_id`` or ``doc_id`` is an id like any other. Either table may be empty. Other columns are ignored.
     """
     items = land(benchmark_windows(benchmark, window), "benchmark-windows")
-    wanted = broadcast_if_at_most(items.select("hash").distinct(), BROADCAST_WINDOWS)
-    hashes = _window_hashes(_types(template_tokens(F.col("text"))), window)
-    windows = documents.select(*_identity(), F.posexplode(hashes).alias("doc_pos", "hash"))
+    # at most one length for each place of a window
+    lengths = sorted(r[0] for r in items.filter(F.col("length") < window).select("length").distinct().collect())
+    searched = items.filter(~F.col("poor"))
+    wanted = broadcast_if_at_most(searched.select("hash").distinct(), BROADCAST_WINDOWS)
+    hashes = _window_hashes(template_tokens(F.col("text")), window, lengths)
+    windows = documents.select(*_identity(), F.posexplode(hashes).alias("doc_pos", "hashes")).select("doc_id", "text_hash", "doc_pos", F.explode("hashes").alias("hash"))
     found = land(windows.join(wanted, "hash"), "shared-windows")
-    hits = found.join(items, "hash")
-    plain = hits.filter(F.size("slots") == 0).select("doc_id", "text_hash", "item_id", "n_windows", "item_pos", F.lit(0).alias("reworded"))
-    slotted = land(hits.filter(F.size("slots") > 0), "slotted-windows")
-    matched = plain if slotted.isEmpty() else plain.unionByName(_consistent(documents, slotted, window))
-    once = matched.groupBy("doc_id", "text_hash", "item_id", "n_windows", "item_pos").agg(F.min("reworded").alias("reworded"))
-    counted = once.groupBy("doc_id", "text_hash", "item_id", "n_windows").agg(
-        F.count(F.lit(1)).alias("n_matched"), F.sum("reworded").alias("n_reworded")
-    )
-    return counted.filter(F.col("n_matched") >= F.ceil(F.col("n_windows") * F.lit(coverage) - 1e-9))
-
-
-def _consistent(documents: DataFrame, slotted: DataFrame, window: int) -> DataFrame:
-    """Those windows with slots whose values follow the substitution that most windows of the pair agree on."""
-    pair = ["doc_id", "text_hash", "item_id"]
+    hits = found.join(searched, "hash")
+    places = hits.groupBy(*PAIR, "n_windows", "n_poor", "item_pos").agg(F.min(F.size("slots")).alias("least_slots"))
+    own = F.col("least_slots") == 0
+    pairs = places.groupBy(*PAIR, "n_windows", "n_poor").agg(F.count(F.lit(1)).alias("n"), F.count_if(own).alias("n_own"))
+    least = F.ceil(F.col("n_windows") * F.lit(coverage) - 1e-9)
+    # pairs that could be held if every window counted
+    possible = land(pairs.filter(F.col("n") + F.col("n_poor") >= least).select(*PAIR, "n_windows", "n_own"), "possible-leaks")
+    slotted = land(_beside(hits.filter(F.size("slots") > 0), possible.select(*PAIR), PAIR, "left_semi"), "slotted-windows")
+    if slotted.isEmpty():
+        more = possible.withColumn("n_reworded", F.lit(0))
+    else:
+        copied = _beside(hits.filter(F.size("slots") == 0), possible.select(*PAIR), PAIR, "left_semi").select(*PAIR, "item_pos").distinct()
+        reworded = _beside(_consistent(documents, slotted, items.filter("poor"), window), copied, [*PAIR, "item_pos"], "left_anti")
+        best = reworded.groupBy(*PAIR, "occurrence").agg(F.count(F.lit(1)).alias("n")).groupBy(*PAIR).agg(F.max("n").alias("n_reworded"))
+        more = _beside(possible, best, PAIR, "left")
+    n_reworded = F.coalesce("n_reworded", F.lit(0)).cast("long")
+    counted = more.select(*PAIR, "n_windows", (F.col("n_own") + n_reworded).alias("n_matched"), n_reworded.alias("n_reworded"))
+    return counted.filter(F.col("n_matched") >= least)
+
+
+def _consistent(documents: DataFrame, slotted: DataFrame, poor: DataFrame, window: int) -> DataFrame:
+    """``item_pos`` of the windows whose values follow the substitution that most windows of their occurrence agree on.
+
+    An occurrence is a stretch of shifts between item and document of half an item's length; stretches overlap by half, and the
+    whole document is one more. Poor windows are looked up at the shifts of the others.
+    """
+    columns = [*PAIR, "n_windows", "item_pos", "doc_pos", "hash", "types", "slots"]
+    shift = (F.col("doc_pos") - F.col("item_pos")).alias("shift")
+    beside = _beside(slotted.select(*PAIR, shift).distinct(), poor, ["item_id"], "inner").withColumn("doc_pos", F.col("item_pos") + F.col("shift"))
+    candidates = slotted.select(columns).unionByName(beside.filter("doc_pos >= 0").select(columns))
     asked = slotted.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     texts = documents.select(*_identity(), "text").join(asked, _same())
     tokens = texts.select("__id", "__hash", template_tokens(F.col("text")).alias("tokens")).dropDuplicates(["__id", "__hash"])
-    joined = slotted.join(tokens, _same())
-    zipped = F.arrays_zip(F.col("slots").alias("item_value"), _slots(F.col("tokens"), F.col("doc_pos"), window).alias("doc_value"))
-    values = joined.select(*pair, "n_windows", "item_pos", "doc_pos", F.explode(zipped).alias("s")).select("*", "s.item_value", "s.doc_value").drop("s")
-    values = land(values, "slot-values")
-    votes = values.groupBy(*pair, "item_value", "doc_value").agg(F.count(F.lit(1)).alias("votes"))
-    chosen = votes.groupBy(*pair, "item_value").agg(F.min_by("doc_value", F.struct(-F.col("votes"), F.col("doc_value"))).alias("chosen"))
-    names = {c: f"__{c}" for c in [*pair, "item_value"]}
-    on = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
-    judged = values.join(chosen.withColumnsRenamed(names), on)
-    per_window = judged.groupBy(*pair, "n_windows", "item_pos", "doc_pos").agg(
-        F.every(F.col("doc_value") == F.col("chosen")).alias("agrees"), F.some(F.col("doc_value") != F.col("item_value")).cast("int").alias("reworded")
+    joined = candidates.join(tokens, _same()).withColumn("own", F.slice("tokens", F.col("doc_pos") + 1, window)).drop("tokens", "__id", "__hash")
+    fits = F.zip_with("types", "own", lambda x, t: F.coalesce(x.isin(_type(t), _type_with_first(t)), F.lit(False)))
+    fitting = joined.filter((F.size("own") == window) & F.forall(fits, lambda f: f))
+    width = F.ceil((F.col("n_windows") + window - 1) / 2)
+    stretches = F.array(
+        F.struct(F.lit(0).alias("kind"), F.floor(shift / width).alias("at")), F.struct(F.lit(1).alias("kind"), F.floor((shift + width / 2) / width).alias("at")),
+        F.struct(F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at")),
+    )
+    put = F.transform(
+        "slots", lambda s: F.struct(s["item_value"].alias("item_value"), F.concat(s["mark"], _value(F.get(F.col("own"), s["place"]))).alias("doc_value"))
     )
-    return per_window.filter("agrees").select(*pair, "n_windows", "item_pos", "reworded")
+    windows = fitting.select(*PAIR, "item_pos", "doc_pos", "hash", put.alias("put"), F.explode(stretches).alias("occurrence"))
+    values = land(windows.select("*", F.explode("put").alias("s")).select("*", "s.item_value", "s.doc_value").drop("s", "put"), "slot-values")
+    votes = values.groupBy(*PAIR, "occurrence", "item_value", "doc_value").agg(F.count(F.lit(1)).alias("votes"))
+    keys = [*PAIR, "occurrence", "item_value"]
+    chosen = votes.groupBy(*keys).agg(F.min_by("doc_value", F.struct(-F.col("votes"), F.col("doc_value"))).alias("chosen"))
+    judged = _beside(values, chosen, keys, "inner")
+    per_window = judged.groupBy(*PAIR, "occurrence", "item_pos", "doc_pos", "hash").agg(F.every(F.col("doc_value") == F.col("chosen")).alias("agrees"))
+    return per_window.filter("agrees").select(*PAIR, "occurrence", "item_pos").distinct()
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:

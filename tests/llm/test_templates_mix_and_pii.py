@@ -45,6 +45,18 @@ def test_reworded_questions_are_found(documents, benchmark):
     assert {r.doc_id for r in templates.without_leaks(table, benchmark).collect()} >= {3, 5}
 
 
+REWORDED = "A train leaves Berlin at 3 hours and travels 55 km to reach Ulm at 8 hours in the end."
+
+
+def test_copies_in_another_case_are_found(documents, benchmark, spark):
+    table = documents((4, ITEM.upper()), (5, ITEM.lower()), (6, f"so {ITEM.lower()} and on"), (7, "Quite another text."))
+    assert {(r.doc_id, r.item_id, r.n_reworded) for r in templates.leaked_items(table, benchmark).collect()} == {(i, 10, 0) for i in (4, 5, 6)}
+    assert {r.doc_id for r in templates.without_leaks(table, benchmark).collect()} == {7}
+    item = spark.createDataFrame([(1, "Alice has 3 apples and gives Bob 2 of them.")], "item_id long, text string")
+    named = documents((1, "Carol has 8 apples and gives Dan 5 of them."), (2, "Why? Alice has 8 apples and gives Dan 5 of them."))
+    assert {r.doc_id for r in templates.leaked_items(named, item).collect()} == {1, 2}
+
+
 def test_inconsistent_slots_do_not_count(documents, spark):
     item = spark.createDataFrame([(1, " ".join(f"step {'alpha beta gamma delta epsilon zeta'.split()[i]} adds 5 more of them" for i in range(6)))], "item_id long, text string")
     same = " ".join(f"step {'alpha beta gamma delta epsilon zeta'.split()[i]} adds 8 more of them" for i in range(6))
