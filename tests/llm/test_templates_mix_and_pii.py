@@ -57,6 +57,14 @@ def test_copies_in_another_case_are_found(documents, benchmark, spark):
     assert {r.doc_id for r in templates.leaked_items(named, item).collect()} == {1, 2}
 
 
+def test_each_occurrence_has_its_own_substitution(documents, benchmark):
+    third = REWORDED.replace("Berlin", "Rome").replace("3 hours", "4 hours").replace("55", "70").replace("Ulm", "Bari")
+    table = documents((1, f"{ITEM} {REWORDED}"), (2, f"{REWORDED} {third}"), (3, f"{REWORDED} {ITEM} {third}"), (4, f"{REWORDED[:40]} {third[50:]}"))
+    found = {r.doc_id: r for r in templates.leaked_items(table, benchmark).collect()}
+    assert set(found) == {1, 2, 3} and found[1].n_matched == found[2].n_matched == found[3].n_matched == found[1].n_windows
+    assert found[1].n_reworded == 0 < found[2].n_reworded
+
+
 def test_inconsistent_slots_do_not_count(documents, spark):
     item = spark.createDataFrame([(1, " ".join(f"step {'alpha beta gamma delta epsilon zeta'.split()[i]} adds 5 more of them" for i in range(6)))], "item_id long, text string")
     same = " ".join(f"step {'alpha beta gamma delta epsilon zeta'.split()[i]} adds 8 more of them" for i in range(6))
