@@ -65,6 +65,17 @@ def test_each_occurrence_has_its_own_substitution(documents, benchmark):
     assert found[1].n_reworded == 0 < found[2].n_reworded
 
 
+def test_items_of_numbers_and_short_items_are_found(documents, spark):
+    items = ["Compute 12 + 7 - 3 * 4.", "Evaluate 48/6 + 2.5 - 1.75", "Given 3, 5, 8, 13, 21, 34 find next.", "What is zyx?", "Solve 2x"]
+    table = documents(
+        *[(i, f"Some words before. {t} And some after.") for i, t in enumerate(items)],
+        (10, "Compute 12 + 8 - 3 * 4."), (11, "from 1, 2 find next"), (12, "What is zy"), (13, items[3].lower()), (14, "Given 2, 4, 6, 10, 16, 26 find next."),
+    )
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in templates.leaked_items(table, benchmark).collect()}
+    assert found == {(i, i) for i in range(5)} | {(13, 3), (14, 2)}
+
+
 def test_inconsistent_slots_do_not_count(documents, spark):
     item = spark.createDataFrame([(1, " ".join(f"step {'alpha beta gamma delta epsilon zeta'.split()[i]} adds 5 more of them" for i in range(6)))], "item_id long, text string")
     same = " ".join(f"step {'alpha beta gamma delta epsilon zeta'.split()[i]} adds 8 more of them" for i in range(6))
