@@ -208,18 +208,33 @@ def pseudonymised(text: str, names: Pseudonyms) -> tuple[str, dict[str, int]]:
     if not _MAYBE.search(text):
         return text, counts
 
-    def swap(match: re.Match) -> str:
-        new = names.replaced(match.lastgroup if match.lastgroup in KINDS else _kind(match), match.group())
-        if new is None:
-            return match.group()
-        counts[new[0]] += 1
-        return new[1]
-
-    # only words with a digit or an at sign, and the words that may belong to them, are searched
-    return _NEAR.sub(lambda m: _FIND.sub(swap, m.group()), text), counts
-
-
-_NEAR = re.compile(r"[^\s]*[0-9@][^\s]*(?:[ ]+[^\s]*[0-9@][^\s]*)*")
+    out, at, copied = [], 0, 0
+    while match := _FIND.search(text, at):
+        kind, start = match.lastgroup if match.lastgroup in KINDS else _kind(match), match.start()
+        at = match.end()
+        for end in _ends(kind, match):
+            new = names.replaced(kind, text[start:end])
+            if new is not None:
+                counts[new[0]] += 1
+                out += [text[copied:start], new[1]]
+                at = copied = end
+                break
+        else:
+            # a value may begin at a later group of a run that holds none from its start
+            if kind in GROUPED and (mark := _MARK.search(match.group())):
+                at = start + mark.end()
+    return "".join([*out, text[copied:]]), counts
+
+
+# runs of groups: what follows the value with a space or a dash may look like a part of it
+GROUPED = ("iban", "card")
+_MARK = re.compile(r"[ -]")
+
+
+def _ends(kind: str, match: re.Match) -> list[int]:
+    """Where a value of the matched text may end: at its end, or before any of its marks, longest first."""
+    shorter = [match.start() + m.start() for m in _MARK.finditer(match.group())] if kind in GROUPED else []
+    return [match.end(), *(e for e in reversed(shorter) if sum(c.isalnum() for c in match.string[match.start() : e]) >= 13)]
 
 
 def _kind(match: re.Match) -> str:
@@ -232,7 +247,7 @@ def with_pseudonyms(documents: DataFrame, key: bytes = DEMO_KEY, back: bool = Fa
     What fails its check, as a card number without a right last digit, is no such value and stays. A date keeps its
     format, a mail address its host, a phone number its country code, a card its first digit. ``back``
     undoes a run with the same key for all values that keep their format, which all but dates with
-    unpadded days do. Null texts are empty, null ids stay null, repeated rows are treated alike; an empty table
+    unpadded days do; where digits follow a card as a further group, the longer run may pass the check by chance, and is then taken for the card. Null texts are empty, null ids stay null, repeated rows are treated alike; an empty table
     gives an empty result; other columns are ignored. Whole texts are read, whatever their length.
     """
 

@@ -138,6 +138,21 @@ def test_formats_are_kept_and_values_linked():
     assert pii.pseudonymised(TEXT, pii.Pseudonyms(b"other"))[0] != text
 
 
+@pytest.mark.parametrize(
+    "value, before, after, kind",
+    [
+        ("GB29 NWBK 6016 1331 9268 19", "iban ", " at once", "iban"), ("NL91 ABNA 0417 1643 00", "to ", " USD 5", "iban"), ("GB29NWBK60161331926819", "", ".", "iban"),
+        ("4111 1111 1111 1111", "card ", " 123", "card"), ("4111111111111111", "", " 12/27", "card"), ("4111-1111-1111-1111", "no 12 ", "", "card"),
+    ],
+)
+def test_values_within_longer_runs_are_found(value, before, after, kind):
+    text, counts = pii.pseudonymised(before + value + after, pii.Pseudonyms(b"key"))
+    assert counts[kind] == 1 == sum(counts.values()) and value not in text
+    assert text.startswith(before) and text.endswith(after) and len(text) == len(before + value + after)
+    alone = pii.pseudonymised(value, pii.Pseudonyms(b"key"))[0]
+    assert text == before + alone + after
+
+
 @pytest.mark.parametrize("text", ["4111111111111112", "999.1.1.1", "2018-02-30", "000-12-3456", "DE00 3704 0044 0532 0130 00", "no numbers", "3.", ""])
 def test_what_fails_its_check_stays(text):
     assert pii.pseudonymised(text, pii.Pseudonyms(b"key"))[0] == text
