@@ -196,14 +196,18 @@ def agreeing_blocks(n_values: int, radius: int = RADIUS, bits: int = 64) -> list
     return [_mask([b for k in choice for b in range(edges[k], edges[k + 1])], bits) for choice in combinations(range(n), shared)]
 
 
-def sampled_bits(n_values: int, tables: int, bits: int) -> list[np.ndarray]:
+def sampled_bits(n_values: int, tables: int, bits: int, radius: int = 22) -> list[np.ndarray]:
     """Masks of random bits. Values that differ in a share ``p`` of their bits agree on one of ``t`` masks of
-    ``k`` bits with probability ``1 - (1 - (1 - p)^k)^t``: 0.998 for 12 bits, 32 tables and ``p`` = 0.13. ``k`` grows by one, and
-    the tables by a seventh, each time the values double, so that buckets stay small and the recall high."""
+    ``k`` bits with probability ``1 - (1 - (1 - p)^k)^t``: 0.998 for 12 bits, 32 tables and ``p`` = 0.13. ``k`` grows by one each
+    time the values double, so that buckets stay small, and the tables by ``1 / (1 - radius / bits)`` or more, so that the
+    probability for values at the radius is the same for any number of values; for closer ones it grows."""
     doublings = max(0, (n_values // (BUCKET_ROWS << 12)).bit_length())
     draw = np.random.default_rng(SEED)
-    n_tables = int(np.ceil(tables * (8 / 7) ** doublings))
-    return [_mask(draw.choice(bits, min(bits, 12 + doublings), replace=False).tolist(), bits) for _ in range(n_tables)]
+    size = min(bits, 12 + doublings)
+    # of masks without replacement, as they are drawn
+    agree = [np.prod([(bits - radius - i) / (bits - i) for i in range(k)]) for k in (12, size)]
+    n_tables = int(np.ceil(tables * agree[0] / max(agree[1], 1e-12) - 1e-9))
+    return [_mask(draw.choice(bits, size, replace=False).tolist(), bits) for _ in range(n_tables)]
 
 
 def _mask(places: list[int], bits: int) -> np.ndarray:
@@ -243,7 +247,7 @@ def linked_fingerprints(
     is a cell of its own: no task holds more than two parts of a bucket.
     """
     n_values = distinct.count()
-    masks = agreeing_blocks(n_values, radius, bits) if tables is None else sampled_bits(n_values, tables, bits)
+    masks = agreeing_blocks(n_values, radius, bits) if tables is None else sampled_bits(n_values, tables, bits, radius)
     placed = bucket_keys(distinct, masks)
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell_rows)
     large = land(sizes.select("key", F.ceil(F.col("n") / cell_rows).cast("int").alias("parts")), "large-buckets")

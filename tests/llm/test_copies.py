@@ -148,6 +148,24 @@ def test_blocks_and_samples_find_all_within_the_radius():
     assert missed <= 5
 
 
+def test_samples_find_as_much_at_any_size():
+    recall = []
+    for n in (100_000, 3 << 21, 3 << 25, 3 << 28):
+        masks = np.unpackbits(np.stack(simhash.sampled_bits(n, 32, 128, 22)).view(np.uint8), axis=1).astype(np.float32)
+        draw = np.random.default_rng(7)
+        apart = np.zeros((4000, 128), np.float32)
+        for row in apart:
+            row[draw.choice(128, 22, replace=False)] = 1
+        recall.append(((apart @ masks.T) == 0).any(axis=1).mean())
+    assert min(recall) > recall[0] - 0.02 and min(recall) > 0.93
+    # shared bands of the pipeline's stage know nothing of the number of texts
+    draw, shared = random.Random(9), 0
+    for _ in range(200):
+        one, two, _ = text_pair(draw, 0.81)
+        shared += bool((similar_sets.bands(similar_sets.shingle_set(one.encode())) == similar_sets.bands(similar_sets.shingle_set(two.encode()))).any())
+    assert shared == 200
+
+
 def test_bit_sliced_distances():
     draw = np.random.default_rng(2)
     for bits, radius in ((64, 4), (64, 7), (128, 22)):
