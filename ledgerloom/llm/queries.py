@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, katz_backoff, line_bitmaps, run_length_index, source_schedule, template_windows
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, compression_bands, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, katz_backoff, line_bitmaps, run_length_index, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_bands.measured_documents(_table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_windows": op1_template_windows,
     "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_run_length_index": op8_run_length_index,
     "op9_deobfuscated_toxicity": op9_deobfuscated_toxicity,
     "op10_chunk_recipes": op10_chunk_recipes,
+    "op13_compression_bands": op13_compression_bands,
 }
 
 # The words a document gives follow from its place in the stream of its source: no schedule is needed to count them.
