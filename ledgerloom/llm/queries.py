@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, compression_bands, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, katz_backoff, line_bitmaps, run_length_index, source_schedule, template_windows
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, compression_bands, cover_forest, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, katz_backoff, line_bitmaps, run_length_index, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,12 @@ def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_cover_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = cover_forest.integer_vectors(_table(spark, sf_dir, "embeddings").withColumn("label", label))
+    return cover_forest.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op13_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.measured_documents(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_run_length_index": op8_run_length_index,
     "op9_deobfuscated_toxicity": op9_deobfuscated_toxicity,
     "op10_chunk_recipes": op10_chunk_recipes,
+    "op12_cover_forest": op12_cover_forest,
     "op13_compression_bands": op13_compression_bands,
 }
 
@@ -123,4 +130,22 @@ SQL: dict[str, str] = {
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
         from documents window same as (partition by coalesce(text, ''))""",
+    "op12_cover_forest": """
+        with vectors as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+        scored as (
+            select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+            from vectors a join vectors b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+        positives as (
+            select anchor_id, id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+        select p.anchor_id, positive_id, (row_number() over best)::int as rank, s.id as negative_id, positive_score, s.score as negative_score
+        from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+        where 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score
+        window best as (partition by p.anchor_id, positive_id order by s.score desc, s.id)
+        qualify rank <= 5""",
 }
