@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, compression_bands, cover_forest, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, katz_backoff, line_bitmaps, run_length_index, source_schedule, template_windows
+from ledgerloom.llm import bit_sliced_simhash, chunk_recipes, compression_bands, cover_forest, deobfuscated_toxicity, feistel_pseudonyms, importance_resampling, katz_backoff, line_bitmaps, phrase_automata, run_length_index, source_schedule, template_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_cover_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = cover_forest.integer_vectors(_table(spark, sf_dir, "embeddings").withColumn("label", label))
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_run_length_index": op8_run_length_index,
     "op9_deobfuscated_toxicity": op9_deobfuscated_toxicity,
     "op10_chunk_recipes": op10_chunk_recipes,
+    "op11_phrase_automata": op11_phrase_automata,
     "op12_cover_forest": op12_cover_forest,
     "op13_compression_bands": op13_compression_bands,
 }
@@ -130,6 +135,31 @@ SQL: dict[str, str] = {
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
         from documents window same as (partition by coalesce(text, ''))""",
+    "op11_phrase_automata": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+            from documents),
+        worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+        totals as (select lang, sum(len(w))::hugeint as n from worded group by lang),
+        grams as (
+            select lang, k, w[i : i + k - 1] as words
+            from worded, unnest(range(1, 6)) as sizes(k), lateral unnest(range(1, len(w) - k + 2)) as starts(i)),
+        counted as (select lang, words, count(*) as f from grams group by all having count(*) >= 100),
+        candidates as (select lang, words, f as a from counted where len(words) > 1),
+        covered as (
+            select c.lang, c.words from candidates c join candidates d
+            on c.lang = d.lang and len(d.words) = len(c.words) + 1 and c.a = d.a and (d.words[1 : len(c.words)] = c.words or d.words[2:] = c.words)),
+        cuts as (select lang, words, a, unnest(range(1, len(words))) as k from candidates),
+        scored as (
+            select c.lang, c.words, c.a, l.f as l, r.f as r, n, k, (1000 * a::hugeint * n) // (l.f::hugeint * r.f) as score
+            from cuts c join totals t on c.lang = t.lang
+            join counted l on l.lang = c.lang and l.words = c.words[1:k] join counted r on r.lang = c.lang and r.words = c.words[k + 1 :]),
+        best as (select * from scored qualify row_number() over (partition by lang, words order by score, k) = 1)
+        select lang, row_number() over top as rank, array_to_string(words, ' ') as phrase, a, l, r, n::bigint as n, score::bigint as score
+        from best b where not exists (select 1 from covered v where v.lang = b.lang and v.words = b.words)
+        window top as (partition by lang order by score desc, a desc, array_to_string(words, ' '))
+        qualify rank <= 2000""",
     "op12_cover_forest": """
         with vectors as (
             select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
