@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.hotkeys import attach_by_key
-from ledgerloom.sources.writers import land
 
 
 def duplicate_values(df: DataFrame, key: str, name: str = "num_records") -> DataFrame:
@@ -17,9 +16,8 @@ def duplicate_values(df: DataFrame, key: str, name: str = "num_records") -> Data
 def rows_with_duplicate_key(df: DataFrame, key: str) -> DataFrame:
     """Full rows of every repeated key, with ``num_records``; null keys are not compared.
 
-    The rows are read three times, so what made them, a join as a rule, is written first and runs once.
+    The rows are read twice, once for their counts and once to be returned; what makes them is not written in between.
     """
-    df = land(df, "rows")
     repeated = duplicate_values(df.filter(F.col(key).isNotNull()), key)
     rows = attach_by_key(df, repeated.withColumn("__n", F.col("num_records")), [key], ["num_records"], "__n", "inner")
     return rows.select(key, "num_records", *[c for c in df.columns if c != key])

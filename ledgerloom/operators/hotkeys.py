@@ -2,9 +2,9 @@
 
 A plain shuffle join sends all rows of a key to one task, and adaptive skew
 splitting does not apply when one side is itself an aggregate. Keys that hold more
-than a thousandth of the rows in question are therefore joined by broadcast, without a
-shuffle of their rows; there can be at most 999 of them, whatever the size of the table.
-All other keys are small by definition and go through an ordinary join.
+than a thousandth of the rows in question are therefore served by broadcast; there can be at most
+999 of them, whatever the size of the table. All other keys are small by definition and go through an ordinary
+join, in which the rows already served are spread by a salt.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.sources.writers import land
 
 HOT_KEY_PARTS = 1000
+SPREAD = 1 << 20
 
 
 def null_safe_match(left: list[str], right: list[str]) -> Column:
@@ -31,7 +32,9 @@ def attach_by_key(
     ``weight`` is the column of ``per_key`` with the number of rows that key has in
     ``df``. Null keys match null keys. ``how`` is ``left`` or ``inner``.
 
-    ``per_key`` is written to the shared folder first: it is read several times, and Spark
+    One branch, in which ``df`` is read once: the hot keys and their values are broadcast and serve their rows in place; a served
+    row then goes under no key and a number of its own, so that the join for all other keys, if it needs a shuffle, spreads
+    the hot rows evenly. ``per_key`` is written to the shared folder first: it is read several times, and Spark
     then knows its size, so that a small one is broadcast and ``df`` not shuffled at all.
     """
     key_names = [f"__key_{i}" for i in range(len(keys))]
@@ -42,13 +45,23 @@ def attach_by_key(
         "per-key",
     )
     is_hot = F.col("__weight") * HOT_KEY_PARTS > table.agg(F.sum("__weight")).scalar()
-    hot, cold = table.filter(is_hot), table.filter(~is_hot)
-    on = null_safe_match(keys, key_names)
-    columns = [*df.columns, *values]
-    hot_rows = df.join(F.broadcast(hot), on, "inner").select(columns)
-    other_rows = df.join(F.broadcast(hot.select(key_names)), on, "left_anti")
-    cold_rows = other_rows.join(cold, on, how).select(columns)
-    return hot_rows.unionByName(cold_rows)
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        """The values as one column, whose presence tells that the key was there."""
+        own = [F.col(n).alias(f"__{name}{n}") for n in key_names]
+        return rows.select(*own, F.struct(F.lit(True).alias("served"), *values).alias(f"__{name}"))
+
+    served = df.join(F.broadcast(side(table.filter(is_hot), "hot")), null_safe_match(keys, [f"__hot{n}" for n in key_names]), "left")
+    # the number differs between the rows of a partition as their content does, between equal rows as their partitions do
+    number = F.lit(1) + F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(SPREAD))
+    salted = served.withColumn("__salt", F.when(F.col("__hot").isNotNull(), number).otherwise(0))
+    cold = side(table.filter(~is_hot), "cold").withColumn("__cold_salt", F.lit(0).cast("long"))
+    on = null_safe_match(keys, [f"__cold{n}" for n in key_names]) & (F.col("__salt") == F.col("__cold_salt"))
+    joined = salted.join(cold, on, "left")
+    if how == "inner":
+        joined = joined.filter(F.col("__hot").isNotNull() | F.col("__cold").isNotNull())
+    found = F.coalesce("__hot", "__cold")
+    return joined.select(*df.columns, *[found.getField(v).alias(v) for v in values])
 
 
 def broadcast_if_at_most(df: DataFrame, limit: int) -> DataFrame:

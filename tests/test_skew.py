@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import joins, updates
+from ledgerloom.operators.hotkeys import attach_by_key
 from ledgerloom.plans import loads, reports
+from ledgerloom.sources import writers
 from tests.helpers import final_plan, rows
 
 N = 60_000
@@ -113,18 +115,34 @@ def shared_addresses(spark, hot: str):
 
 
 @pytest.mark.parametrize("hot", ["all@x", None])
-def test_hot_address_needs_no_window_and_no_shuffle_of_its_rows(spark, settings, hot):
-    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+def test_hot_address_needs_no_window_and_lands_in_no_single_task(spark, settings, hot):
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     people = shared_addresses(spark, hot)
     done = loads.disambiguate_emails(people)
     counts = dict(rows(done.groupBy("CUST_EMAIL").count().filter("count > 1")))
     assert counts == {"ABLee@example.com": N // 3 - 1}
     assert done.filter("SSN = 3").first()["CUST_EMAIL"] == hot
     assert done.count() == N
-    hot_side = final_plan(done).split(":- ", 1)[1].split("\n      +- ")[0]
-    rows_of_hot_side = hot_side.split("BroadcastQueryStage")[0]
-    assert "BroadcastHashJoin" in rows_of_hot_side and "Exchange" not in rows_of_hot_side
-    assert "Window" not in final_plan(done)
+    plan = final_plan(done)
+    assert "BroadcastHashJoin" in plan and "Window" not in plan
+    per_task = [n for _, n in rows(done.groupBy(F.spark_partition_id()).count())]
+    assert len(per_task) >= 4 and max(per_task) < N / len(per_task) * 1.1
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_values_are_attached_in_one_pass_over_the_rows(spark, settings, how):
+    """Hot keys, others, keys without a value and null keys, with and without a shuffle."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise((F.col("id") % 5000).cast("string"))
+    source = writers.land(spark.range(0, N, 1, 8).select(key.alias("k"), "id"), "keyed-rows")
+    per_key = source.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top")).filter("k is null or k <> '2'")
+    for limit in ("10MB", "-1"):
+        settings(**{"spark.sql.autoBroadcastJoinThreshold": limit, "spark.sql.adaptive.autoBroadcastJoinThreshold": limit})
+        got = attach_by_key(source, per_key, ["k"], ["top"], "n", how)
+        wanted = source.join(per_key.select(F.col("k").alias("p"), "top"), F.col("k").eqNullSafe(F.col("p")), how).select("k", "id", "top")
+        assert rows(got) == rows(wanted)
+        final = final_plan(got).split("Initial Plan")[0]
+        assert final.count("keyed-rows") == 1
+        assert ("Exchange hashpartitioning" in final) == (limit == "-1")
 
 
 def test_patching_splits_the_hot_key(spark, small_skew_limits):
