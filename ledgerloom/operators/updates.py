@@ -6,15 +6,19 @@ unless ``null_safe`` is set, as a comparison with null is never true.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.validation import FIELD_RULES, rejection_reason
+from ledgerloom.operators.running_totals import with_previous_value
+from ledgerloom.sources import snapshots
 from ledgerloom.sources.writers import land
 
 FIELDS = list(FIELD_RULES)
 BLOCK_ROWS = 1_000_000
-MOST_BLOCKS = 256
+LISTED_CARDS = 1_000
 
 
 def accepted_requests(requests: DataFrame) -> DataFrame:
@@ -34,7 +38,11 @@ def _latest_values(requests: DataFrame) -> DataFrame:
 
 def apply_changes(customers: DataFrame, requests: DataFrame, null_safe: bool = False) -> DataFrame:
     """The next snapshot of the customer table."""
-    joined = customers.join(_latest_values(requests), "CREDIT_CARD_NO", "left")
+    return _with_values(customers, _latest_values(requests), null_safe)
+
+
+def _with_values(customers: DataFrame, latest: DataFrame, null_safe: bool) -> DataFrame:
+    joined = customers.join(latest, "CREDIT_CARD_NO", "left")
 
     def value(column: str) -> Column:
         if column not in FIELDS:
@@ -46,39 +54,55 @@ def apply_changes(customers: DataFrame, requests: DataFrame, null_safe: bool = F
     return joined.select(*[value(column) for column in customers.columns])
 
 
-def _block_number(requests: DataFrame, block_rows: int) -> Column:
-    """Block of a request: ranges of ``REQUEST_ID`` with about ``block_rows`` rows each, by sampled quantiles.
+def _changes(column: str, null_safe: bool) -> Column:
+    """Whether a stored value is to become another one."""
+    new = F.col(f"__{column}")
+    differs = ~F.col(column).eqNullSafe(new) if null_safe else F.col(column) != new
+    return F.coalesce(new.isNotNull() & differs, F.lit(False))
+
+
+def update_stored(spark: SparkSession, path: str, requests: DataFrame, null_safe: bool = False) -> list[str]:
+    """Apply change requests to a stored customer table (see ``snapshots``), and return the files that were rewritten.
 
-    Numbers may be dense or sparse. Requests without a number are block -1, before all others.
+    Copy on write, by file: only files with a row that really changes are read whole and written anew; all others
+    stay as they are, under their names. Which files these are is asked of the columns that can change; the cards of
+    a small batch are pushed into that scan, which skips what cannot hold them where the table is laid out by card. The driver
+    sees names of files. Nothing is committed when nothing changes; if another job commits first, this one fails and changes nothing.
     """
-    wanted = min(MOST_BLOCKS, requests.count() // block_rows + 1)
-    shares = [i / wanted for i in range(1, wanted)]
-    bounds = requests.approxQuantile("REQUEST_ID", shares, 0.2 / wanted) if shares else []
-    number = F.col("REQUEST_ID")
-    passed = F.filter(F.array(*[F.lit(int(b)) for b in bounds]), lambda b: b < number) if bounds else F.array()
-    return F.when(number.isNull(), -1).otherwise(F.size(passed))
+    state = snapshots.current(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no table at {path}")
+    latest = land(_latest_values(requests.filter(F.col("CREDIT_CARD_NO").isNotNull())), "latest-values")
+    stored = snapshots.read_state(spark, state)
+    held = stored.select("CREDIT_CARD_NO", *FIELDS, F.col("_metadata.file_path").alias("__file")) if state.files else None
+    if held is None:
+        return []
+    cards = [r[0] for r in latest.select("CREDIT_CARD_NO").limit(LISTED_CARDS + 1).collect()]
+    if len(cards) <= LISTED_CARDS:
+        held = held.filter(F.col("CREDIT_CARD_NO").isin(cards))
+    changed = reduce(lambda a, b: a | b, [_changes(field, null_safe) for field in FIELDS])
+    touched = held.join(latest, "CREDIT_CARD_NO").filter(changed).select("__file").distinct().collect()
+    files = sorted(snapshots.plain_path(spark, r[0]) for r in touched)
+    if files:
+        rewritten = _with_values(snapshots.read_state(spark, state, files), latest, null_safe)
+        ordered = rewritten.repartitionByRange(len(files), "CREDIT_CARD_NO").sortWithinPartitions("CREDIT_CARD_NO")
+        snapshots.replace_files(spark, path, state, files, ordered)
+    return files
 
 
 def _with_previous_request(requests: DataFrame, block_rows: int) -> DataFrame:
     """Add ``previous``: the value of the last earlier request for the same card and field.
 
-    One card may hold a large part of all requests, so the look-back runs in blocks of
-    requests: within a block by a window over that block, and across blocks by a
-    window over one row per block. Requests without a number come first, requests of one number in order
+    One card may hold a large part of all requests, so the look-back runs over ranges of about ``block_rows`` requests, as
+    many as there need to be. Requests without a number come first, requests of one number in order
     of their value. A request without a card has none before it.
     """
-    target = ["CREDIT_CARD_NO", "FIELD"]
     nobody = requests.filter("CREDIT_CARD_NO is null").withColumn("previous", F.lit(None).cast("string"))
-    blocks = requests.filter("CREDIT_CARD_NO is not null").withColumn("__block", _block_number(requests, block_rows))
-    in_block = Window.partitionBy(*target, "__block").orderBy("REQUEST_ID", "NEW_VALUE")
-    lagged = blocks.withColumn("__previous", F.lag("NEW_VALUE").over(in_block))
-
-    newest = F.max(F.struct("REQUEST_ID", "NEW_VALUE")).getField("NEW_VALUE")
-    last = blocks.groupBy(*target, "__block").agg(newest.alias("__last"))
-    over_blocks = Window.partitionBy(*target).orderBy("__block")
-    carried = last.select(*target, "__block", F.lag("__last").over(over_blocks).alias("__carried"))
-    found = lagged.join(carried, [*target, "__block"]).withColumn("previous", F.coalesce("__previous", "__carried"))
-    return found.select(*requests.columns, "previous").unionByName(nobody)
+    of_cards = requests.filter("CREDIT_CARD_NO is not null")
+    order = [F.col("REQUEST_ID").asc_nulls_first(), F.col("NEW_VALUE").asc_nulls_first()]
+    ranges = of_cards.count() // block_rows + 1
+    found = with_previous_value(of_cards, ["CREDIT_CARD_NO", "FIELD"], order, "NEW_VALUE", "previous", ranges)
+    return found.unionByName(nobody)
 
 
 def audit_changes(
