@@ -10,6 +10,7 @@ from ledgerloom.functions.labels import state_name
 from ledgerloom.session import new_path
 
 FILE_CHARACTERS = 64_000_000
+NULL_VALUE = r"\N"
 
 
 def write_json_arrays(df: DataFrame, name: str) -> str:
@@ -43,8 +44,10 @@ def write_json_lines(df: DataFrame, name: str) -> str:
 
 
 def write_headerless_csv(df: DataFrame, name: str) -> str:
+    """Values as they are, with ``NULL_VALUE`` for null, so that null, empty and blank stay three things."""
     path = new_path(df.sparkSession, name)
-    df.write.option("header", False).csv(path)
+    options = {"header": False, "nullValue": NULL_VALUE, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(**options).csv(path)
     return path
 
 

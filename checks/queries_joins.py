@@ -12,7 +12,7 @@ from checks.role_views import VIEWS
 from ledgerloom.functions import labels
 from ledgerloom.operators import dedup, joins, ranking, updates
 from ledgerloom.plans import loads, reports
-from ledgerloom.sources import readers
+from ledgerloom.sources import buckets, readers, snapshots
 
 # ---- joins ---------------------------------------------------------------------------
 
@@ -28,6 +28,21 @@ add(
     """select t.*, c.SSN, c.FIRST_NAME, c.LAST_NAME
        from tx t join rv_cust c on t.CREDIT_CARD_NO = c.CREDIT_CARD_NO""",
 )
+BUCKETS = 16
+
+
+def join_stored_by_card(d):
+    names = d.bucketed("transactions", BUCKETS), d.bucketed("customers", BUCKETS)
+    joined = buckets.join_bucketed(d.spark, *names, "CREDIT_CARD_NO", BUCKETS, ["SSN", "FIRST_NAME", "LAST_NAME"])
+    return joined.drop("TXN_MONTH")
+
+
+add(
+    "join_two_way_bucketed",
+    join_stored_by_card,
+    """select t.*, c.SSN, c.FIRST_NAME, c.LAST_NAME
+       from tx t join cu c on t.CREDIT_CARD_NO = c.CREDIT_CARD_NO""",
+)
 add(
     "join_self_audit",
     lambda d: joins.changed_values(
@@ -184,7 +199,15 @@ UPDATED_SQL = "select cu.* replace (" + ", ".join(
     f"case when cu.{f} <> l.new_{f} then l.new_{f} else cu.{f} end as {f}" for f in FIELDS
 ) + f") from cu left join ({LATEST_SQL}) as l on cu.CREDIT_CARD_NO = l.CREDIT_CARD_NO"
 
-add("update_customer_field", lambda d: updates.apply_changes(d.stored("customers"), d.requests), UPDATED_SQL)
+
+def update_files(d):
+    path = d.snapshot("customers")
+    updates.update_stored(d.spark, path, d.requests)
+    return snapshots.read_snapshot(d.spark, path)
+
+
+add("update_customer_field", update_files, UPDATED_SQL)
+add("update_customer_snapshot", lambda d: updates.apply_changes(d.stored("customers"), d.requests), UPDATED_SQL)
 
 STORED_SQL = "case FIELD " + " ".join(f"when '{f}' then cu.{f}" for f in FIELDS) + " end"
 AUDIT_SQL = f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.queries_columns import CARD
-from checks.queries_joins import FANOUT_SQL, fan_out
+from checks.queries_joins import BUCKETS, FANOUT_SQL, fan_out
 from checks.registry import add
 from ledgerloom.operators import dedup, profile
 from ledgerloom.plans import reports
@@ -146,6 +146,21 @@ add(
         from dated t join rv_cust c on t.CREDIT_CARD_NO = c.CREDIT_CARD_NO
         group by t.CREDIT_CARD_NO, date_trunc('month', txn_date), SSN, FIRST_NAME, LAST_NAME""",
 )
+
+
+def bills_stored_by_card(d):
+    names = d.bucketed("transactions", BUCKETS), d.bucketed("customers", BUCKETS)
+    return reports.monthly_bills_bucketed(d.spark, *names, BUCKETS)
+
+
+add(
+    "agg_monthly_bill_bucketed",
+    bills_stored_by_card,
+    f"""select t.CREDIT_CARD_NO, cast(cast(date_trunc('month', txn_date) as date) as varchar) as bill_month,
+               SSN, FIRST_NAME, LAST_NAME, {MONEY} as total_bill
+        from dated t join cu c on t.CREDIT_CARD_NO = c.CREDIT_CARD_NO
+        group by t.CREDIT_CARD_NO, date_trunc('month', txn_date), SSN, FIRST_NAME, LAST_NAME""",
+)
 RANGE_SQL = "cast(min(txn_date) as varchar) as first_date, cast(max(txn_date) as varchar) as last_date from dated"
 add(
     "agg_card_date_range",

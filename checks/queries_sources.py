@@ -13,7 +13,7 @@ from ledgerloom.functions import cleaning as c
 from ledgerloom.operators.ranking import top_k
 from ledgerloom.plans import loads, reports
 from ledgerloom.session import new_path
-from ledgerloom.sources import readers, writers
+from ledgerloom.sources import large_json, readers, snapshots, writers
 
 
 # ---- scans ---------------------------------------------------------------------------
@@ -48,9 +48,18 @@ add(
     scan_customers,
     "select * replace (cast(CUST_PHONE as varchar) as CUST_PHONE) from rv_cust",
 )
+
+
+def scan_ranges(d):
+    """One large file as many tasks read it."""
+    raw = as_feed(d.raw_transactions, schemas.TRANSACTION_FEED)
+    return large_json.read_large_json(d.spark, feeds.write_json_arrays(raw, "transaction-feed"), schemas.TRANSACTION_FEED)
+
+
+add("scan_json_ranges", scan_ranges, "select * from rv_tx")
 add(
     "scan_csv_headerless",
-    lambda d: readers.read_crosswalk(d.spark, feeds.write_headerless_csv(d.crosswalk, "crosswalk-feed")),
+    lambda d: readers.read_crosswalk(d.spark, feeds.write_headerless_csv(d.crosswalk, "crosswalk-feed"), feeds.NULL_VALUE),
     "select * from rv_zip",
 )
 add(
@@ -117,6 +126,14 @@ def append_once(d):
     return readers.read_table(d.spark, path)
 
 
+def append_batches(d):
+    """Two batches, one of them again, as after a failure."""
+    path = new_path(d.spark, "branches")
+    for batch, odd in (("a", 0), ("b", 1), ("a", 0)):
+        snapshots.append_batch(d.branches.filter(F.col("BRANCH_CODE") % 2 == odd), path, batch)
+    return snapshots.read_snapshot(d.spark, path)
+
+
 def overwrite_twice(d):
     path = new_path(d.spark, "transactions")
     writers.overwrite_rows(d.transactions, path)
@@ -141,6 +158,7 @@ def typed_table(d):
 
 add("sink_append", append_twice, "select * from br union all select * from br")
 add("sink_append_new_rows", append_once, "select * from br")
+add("sink_append_batch", append_batches, "select * from br")
 add("sink_overwrite", overwrite_twice, "select * from tx")
 add("ensure_table", typed_table, "select * from rv_loan")
 add(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,7 +16,8 @@ from checks.role_views import VIEWS, frame, view_sql
 from ledgerloom import schemas
 from ledgerloom.plans import loads
 from ledgerloom.session import new_path
-from ledgerloom.sources import readers
+from ledgerloom.sources import readers, snapshots
+from ledgerloom.sources.buckets import write_bucketed
 
 
 # Tables that a load job has written, by application, data and name: inputs of reports, made once per session.
@@ -77,7 +79,8 @@ class BankData:
             loads.load_transactions(self.spark, feed, path)
         else:
             feed = feeds.write_json_arrays(as_feed(self.raw_customers, schemas.CUSTOMER_FEED), "customer-feed")
-            loads.load_customers(self.spark, feed, feeds.write_headerless_csv(self.crosswalk, "crosswalk-feed"), path)
+            zips = feeds.write_headerless_csv(self.crosswalk, "crosswalk-feed")
+            loads.load_customers(self.spark, feed, zips, path, null_value=feeds.NULL_VALUE)
         return path
 
     def stored(self, name: str) -> DataFrame:
@@ -87,6 +90,26 @@ class BankData:
             _STAGED[key] = self.load(name)
         return readers.read_table(self.spark, _STAGED[key])
 
+    def bucketed(self, name: str, buckets: int) -> str:
+        """The same table stored by card, in the catalog of the session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"{name} in {buckets} buckets")
+        if key not in _STAGED:
+            table = f"{name}_{uuid.uuid4().hex}"
+            write_bucketed(self.stored(name), table, new_path(self.spark, table), "CREDIT_CARD_NO", buckets)
+            _STAGED[key] = table
+        return _STAGED[key]
+
+    def snapshot(self, name: str) -> str:
+        """The same table under manifests, as a copy of the caller's own: no file of it is copied."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"{name} snapshot")
+        if key not in _STAGED:
+            self.stored(name)
+            _STAGED[key] = new_path(self.spark, f"{name}-snapshot")
+            snapshots.adopt(self.spark, _STAGED[(*key[:2], name)], _STAGED[key])
+        own = new_path(self.spark, f"{name}-copy")
+        snapshots.clone(self.spark, _STAGED[key], own)
+        return own
+
     @cached_property
     def loans(self) -> DataFrame:
         return self.view("rv_loan")

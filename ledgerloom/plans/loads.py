@@ -14,7 +14,8 @@ from ledgerloom.functions import cleaning as c
 from ledgerloom.operators.dedup import one_row_per_key
 from ledgerloom.operators.joins import with_area_code
 from ledgerloom.operators.ranking import rank_exceeds_one
-from ledgerloom.sources import readers, writers
+from ledgerloom.sources import readers, snapshots, writers
+from ledgerloom.sources.large_json import read_large_json
 
 
 def clean_branches(raw: DataFrame) -> DataFrame:
@@ -80,35 +81,48 @@ def clean_customers(raw: DataFrame, crosswalk: DataFrame, keep_unmatched: bool =
 
 
 def load_branches(
-    spark: SparkSession, feed: str, target: str, multiline: bool = True, only_new: bool = False
+    spark: SparkSession, feed: str, target: str, multiline: bool = True, only_new: bool = False, batch: str | None = None
 ) -> None:
-    """Append the cleaned branch feed; with ``only_new``, just branches not stored yet."""
+    """Append the cleaned branch feed; with ``only_new``, just branches not stored yet.
+
+    With ``batch``, the name of this delivery, the target is a table under manifests (see ``snapshots``) and a rerun replaces what
+    the same delivery brought before.
+    """
     branches = clean_branches(readers.read_json_records(spark, feed, schemas.BRANCH_FEED, multiline))
-    if only_new:
+    if batch is not None:
+        snapshots.append_batch(branches, target, batch)
+    elif only_new:
         writers.append_new_rows(branches, target, ["BRANCH_CODE"])
     else:
         writers.append_rows(branches, target)
 
 
-def load_transactions(spark: SparkSession, feed: str, target: str, multiline: bool = True) -> None:
-    """Replace the transaction table, partitioned by year and month for the date reports."""
-    raw = readers.read_json_records(spark, feed, schemas.TRANSACTION_FEED, multiline)
+def load_transactions(spark: SparkSession, feed: str, target: str, multiline: bool = True, ranges: bool = False) -> None:
+    """Replace the transaction table: a partition for each year and month, in it files by ranges of the card.
+
+    Date reports skip whole months, reports on one card nearly all row groups of a month. With ``ranges`` a feed of few
+    large files is read by as many tasks as it has ranges.
+    """
+    if ranges:
+        raw = read_large_json(spark, feed, schemas.TRANSACTION_FEED)
+    else:
+        raw = readers.read_json_records(spark, feed, schemas.TRANSACTION_FEED, multiline)
     monthly = clean_transactions(raw).withColumn("TXN_MONTH", F.substring("TIMEID", 1, 6))
-    writers.overwrite_rows(monthly, target, ["TXN_MONTH"])
+    writers.overwrite_clustered(monthly, target, ["CREDIT_CARD_NO", "TIMEID", "TRANSACTION_ID"], ["TXN_MONTH"])
 
 
 def load_customers(
-    spark: SparkSession, feed: str, crosswalk_feed: str, target: str, multiline: bool = True
+    spark: SparkSession, feed: str, crosswalk_feed: str, target: str, multiline: bool = True, null_value: str = ""
 ) -> None:
-    """Replace the customer table.
+    """Replace the customer table, in files by ranges of the card; ``null_value`` is what the crosswalk feed writes for null.
 
     Resolving shared addresses reads the customers more than once, so the feed is landed
     as Parquet first.
     """
     raw = readers.read_json_records(spark, feed, schemas.CUSTOMER_FEED, multiline)
-    crosswalk = readers.read_crosswalk(spark, crosswalk_feed)
+    crosswalk = readers.read_crosswalk(spark, crosswalk_feed, null_value)
     landed = writers.land(raw, "customer-feed")
-    writers.overwrite_rows(clean_customers(landed, crosswalk), target)
+    writers.overwrite_clustered(clean_customers(landed, crosswalk), target, ["CREDIT_CARD_NO"])
 
 
 def load_loans(

@@ -9,17 +9,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cleaning import TIME_ID_FORMAT, time_id_month, time_id_to_date
+from ledgerloom.functions.cleaning import time_id_month, time_id_to_date
 from ledgerloom.functions.labels import currency_label, month_name, state_name, thousands_label
 from ledgerloom.functions.predicates import all_equal, equals_ignoring_case
 from ledgerloom.operators.hotkeys import broadcast_if_at_most
 from ledgerloom.operators.joins import features_with_counts
 from ledgerloom.operators.ranking import top_k, top_k_with_ties
+from ledgerloom.sources.buckets import parts_bucketed
+from ledgerloom.sources.writers import land
 
 BRANCH_BROADCAST_ROWS = 100_000
+STATEMENT_CARDS = 100_000
+HOT_TOTALS = 1_000_000
 
 
 def exact_sum(amount: str | Column) -> Column:
@@ -290,6 +294,31 @@ def monthly_bills(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     return bills.select(*keys, as_amount("total").alias("total_bill"))
 
 
+def monthly_bills_bucketed(spark: SparkSession, transactions: str, customers: str, buckets: int) -> DataFrame:
+    """The same from tables stored by card (see ``buckets``): neither the transactions nor the customers are shuffled.
+
+    Both sides are added up before they meet: a bucket holds whole groups, and the sums of the hot cards, a row for
+    each of their months, are broadcast after a count.
+    """
+    month = F.trunc(time_id_to_date(F.col("TIMEID")), "MM").alias("bill_month")
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("CREDIT_CARD_NO", month).agg(exact_sum("TRANSACTION_VALUE").alias("total"))
+
+    def holders(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*HOLDER).agg(F.count(F.lit(1)).alias("copies"))
+
+    def bills(total: DataFrame, holder: DataFrame) -> DataFrame:
+        billed = total.join(holder, "CREDIT_CARD_NO").withColumn("total", F.col("total") * F.col("copies"))
+        return billed.select("CREDIT_CARD_NO", "bill_month", "SSN", "FIRST_NAME", "LAST_NAME", as_amount("total").alias("total_bill"))
+
+    (spent, spent_hot), (owned, owned_hot) = parts_bucketed(spark, transactions), parts_bucketed(spark, customers)
+    total, total_hot = totals(spent), broadcast_if_at_most(totals(spent_hot), HOT_TOTALS)
+    holder, holder_hot = holders(owned), broadcast_if_at_most(holders(owned_hot), HOT_TOTALS)
+    whole = bills(total, holder).unionByName(bills(total_hot, holder))
+    return whole.unionByName(bills(total, holder_hot)).unionByName(bills(total_hot, holder_hot))
+
+
 def card_date_range(transactions: DataFrame, card: str) -> DataFrame:
     """First and last transaction date of one card; nulls when it has none."""
     day = time_id_to_date(F.col("TIMEID"))
@@ -314,55 +343,109 @@ def card_transactions(transactions: DataFrame, card: str, first: dt.date, last:
     ).orderBy(F.desc("TIMEID"), "TRANSACTION_TYPE", "TRANSACTION_VALUE")
 
 
+# ---- statements for many requests ----------------------------------------------------
+
+
+def _asked_transactions(asked: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The dated-or-not transactions of the cards asked for: narrow rows with their month and date.
+
+    Few cards are broadcast, after a count, so that other cards' rows are dropped in the scan stage.
+    """
+    own = transactions.filter(F.col("TIMEID").isNotNull()).select(
+        "CREDIT_CARD_NO",
+        F.substring("TIMEID", 1, 6).alias("month"),
+        time_id_to_date(F.col("TIMEID")).alias("day"),
+        "TRANSACTION_TYPE",
+        "TRANSACTION_VALUE",
+    )
+    cards = asked.select("CREDIT_CARD_NO").distinct()
+    few = cards.limit(STATEMENT_CARDS + 1).count() <= STATEMENT_CARDS
+    return own.join(F.broadcast(cards), "CREDIT_CARD_NO", "left_semi") if few else own
+
+
+def _card_months(own: DataFrame) -> DataFrame:
+    """One row for each card and month: its first and last date, and a bit for each day with a transaction.
+
+    A fixed-size aggregate, so a card's month is one row per map task before the shuffle, however much it holds.
+    """
+    bit = F.expr("shiftleft(1, dayofmonth(day) - 1)")
+    grouped = own.groupBy("CREDIT_CARD_NO", "month")
+    return grouped.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.bit_or(bit).alias("days"))
+
+
+def _request_months(asked: DataFrame, card_months: DataFrame) -> DataFrame:
+    """The months in which a request has a transaction; ``whole`` where every date of the month is asked for.
+
+    Requests are cut to the time their card was used, so a request for all times has no more months than its card.
+    """
+    spans = card_months.groupBy("CREDIT_CARD_NO").agg(F.min("first_day").alias("lo"), F.max("last_day").alias("hi"))
+    dated = asked.filter(F.col("first_date").isNotNull() & F.col("last_date").isNotNull())
+    cut = dated.join(spans, "CREDIT_CARD_NO").select(
+        *asked.columns, F.greatest("first_date", "lo").alias("from_day"), F.least("last_date", "hi").alias("to_day")
+    )
+    cut = cut.filter(F.col("from_day") <= F.col("to_day"))
+    starts = F.sequence(F.trunc("from_day", "MM"), F.trunc("to_day", "MM"), F.expr("interval 1 month"))
+    months = cut.select("*", F.explode(starts).alias("start")).select(
+        "*",
+        F.date_format("start", "yyyyMM").alias("month"),
+        F.when(F.trunc("from_day", "MM") == F.col("start"), F.dayofmonth("from_day")).otherwise(1).alias("first"),
+        F.when(F.trunc("to_day", "MM") == F.col("start"), F.dayofmonth("to_day")).otherwise(31).alias("last"),
+    )
+    used = months.join(card_months.select("CREDIT_CARD_NO", "month", "days"), ["CREDIT_CARD_NO", "month"])
+    asked_days = F.expr("shiftleft(1L, last) - shiftleft(1L, first - 1)")
+    hits = used.filter(F.col("days").bitwiseAND(asked_days) != 0)
+    whole = (F.col("first") == 1) & (F.col("last") == 31)
+    return hits.select("request", "CREDIT_CARD_NO", "first_date", "last_date", "month", "from_day", "to_day", whole.alias("whole"))
+
+
+def statement_pairs(request_months: DataFrame, own: DataFrame) -> DataFrame:
+    """Requests next to their card's transactions of the months they ask for, and of no others."""
+    return request_months.join(own, ["CREDIT_CARD_NO", "month"])
+
+
 def card_statements(requests: DataFrame, transactions: DataFrame) -> DataFrame:
     """Statements for a table of requests (``CREDIT_CARD_NO``, ``first_date``, ``last_date``).
 
     Each distinct request gets its transactions in the period with ``outcome`` ``found``; or
     else one row with ``no_transactions`` if the card has none at all, or ``outside_range``
-    together with the card's first and last date. Which it is follows from the distinct days
-    of a card, so that question never meets a card's transactions one by one. Grouping by
-    the request as a whole keeps the join free of a required partitioning, and AQE can
-    split a card with very many requests.
+    together with the card's first and last date.
+
+    A range join by month buckets: requests are laid out over the months in which their card has a transaction for them,
+    and joined on card and month, so that a date is compared only in the first and last month of a request. The transactions are
+    read once, and their narrow rows written; which months and days a card has comes from one grouped pass over
+    these. Both sides of the large join are written tables, so AQE may split a card with very many requests or transactions.
     """
-    asked = requests.select(
+    distinct = requests.select("CREDIT_CARD_NO", "first_date", "last_date").distinct()
+    asked = land(distinct.withColumn("request", F.monotonically_increasing_id()), "statement-requests")
+    own = land(_asked_transactions(asked, transactions), "asked-transactions")
+    card_months = land(_card_months(own), "card-months")
+    hits = land(_request_months(asked, card_months), "request-months")
+
+    dated = own.filter(F.col("day").isNotNull())
+    inside = F.col("whole") | F.col("day").between(F.col("from_day"), F.col("to_day"))
+    found = statement_pairs(hits, dated).filter(inside).select(
         "CREDIT_CARD_NO",
-        F.struct("CREDIT_CARD_NO", "first_date", "last_date").alias("request"),
-        F.date_format("first_date", TIME_ID_FORMAT).alias("__first"),
-        F.date_format("last_date", TIME_ID_FORMAT).alias("__last"),
-    ).distinct()
-    inside = F.col("TIMEID").between(F.col("__first"), F.col("__last"))
-    day = time_id_to_date(F.col("TIMEID"))
-
-    own = transactions.select("CREDIT_CARD_NO", "TIMEID", "TRANSACTION_TYPE", "TRANSACTION_VALUE")
-    found = asked.join(own, "CREDIT_CARD_NO").filter(inside).withColumn("transaction_date", day)
-    found = found.filter(F.col("transaction_date").isNotNull()).select(
-        "request.*",
+        "first_date",
+        "last_date",
         F.lit("found").alias("outcome"),
-        "transaction_date",
+        F.col("day").alias("transaction_date"),
         "TRANSACTION_TYPE",
         "TRANSACTION_VALUE",
         F.lit(None).cast("date").alias("card_first_date"),
         F.lit(None).cast("date").alias("card_last_date"),
     )
 
-    days = transactions.select("CREDIT_CARD_NO", "TIMEID").distinct().withColumn("day", day)
-    summary = (
-        asked.join(days, "CREDIT_CARD_NO", "left")
-        .groupBy("request")
-        .agg(
-            F.count("TIMEID").alias("days"),
-            F.count_if(inside & F.col("day").isNotNull()).alias("days_inside"),
-            F.min("day").alias("card_first_date"),
-            F.max("day").alias("card_last_date"),
-        )
-    )
-    empty = summary.filter(F.col("days_inside") == 0).select(
-        "request.*",
-        F.when(F.col("days") > 0, "outside_range").otherwise("no_transactions").alias("outcome"),
+    spans = card_months.groupBy("CREDIT_CARD_NO").agg(F.min("first_day").alias("lo"), F.max("last_day").alias("hi"), F.lit(True).alias("used"))
+    left = asked.join(hits.select("request").distinct(), "request", "left_anti").join(spans, "CREDIT_CARD_NO", "left")
+    empty = left.select(
+        "CREDIT_CARD_NO",
+        "first_date",
+        "last_date",
+        F.when(F.col("used"), "outside_range").otherwise("no_transactions").alias("outcome"),
         F.lit(None).cast("date").alias("transaction_date"),
         F.lit(None).cast("string").alias("TRANSACTION_TYPE"),
         F.lit(None).cast("double").alias("TRANSACTION_VALUE"),
-        "card_first_date",
-        "card_last_date",
+        F.col("lo").alias("card_first_date"),
+        F.col("hi").alias("card_last_date"),
     )
     return found.unionByName(empty)

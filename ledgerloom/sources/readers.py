@@ -35,9 +35,15 @@ def read_json_with_rejects(spark: SparkSession, path: str, schema: T.StructType,
     )
 
 
-def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless ZIP crosswalk, columns named by position; ZIPs stay text."""
-    return spark.read.schema(schemas.CROSSWALK).option("header", False).option("mode", "FAILFAST").csv(path)
+def read_crosswalk(spark: SparkSession, path: str, null_value: str = "", multiline: bool = False) -> DataFrame:
+    """Headerless ZIP crosswalk, columns named by position; ZIPs stay text, blanks around a value are part of it.
+
+    ``null_value`` is what the feed writes for null. While that is the empty text, as Spark has it, empty values
+    are null; a feed with a mark of its own keeps empty, blank and null apart. Values may hold line ends with ``multiline``.
+    """
+    options = {"header": False, "mode": "FAILFAST", "nullValue": null_value, "multiLine": multiline}
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return spark.read.schema(schemas.CROSSWALK).options(**options, **kept).csv(path)
 
 
 def read_records_inferred(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:

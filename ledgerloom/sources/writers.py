@@ -16,11 +16,20 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def new_rows(df: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
-    """One row for each key that ``stored`` does not hold, the smallest in column order; null is a key like any other."""
+    """One row for each key that ``stored`` does not hold, the smallest in column order; null is a key like any other.
+
+    Of the stored keys only those between the smallest and the largest of the new ones are read: where keys grow with
+    time, or the table is laid out by them, the scan skips nearly all of it. The new rows are written first, as they are read twice.
+    """
     rest = [c for c in df.columns if c not in keys]
     once = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row")).select(*keys, "__row.*").select(df.columns)
     if stored is None:
         return once
+    once = land(once, "new-rows")
+    key = F.col(keys[0])
+    low, high, nulls = once.agg(F.min(key), F.max(key), F.count_if(key.isNull())).first()
+    span = F.lit(False) if low is None else key.between(F.lit(low), F.lit(high))
+    stored = stored.filter(span | key.isNull() if nulls else span)
     held = stored.select(*[F.col(k).alias(f"__held_{i}") for i, k in enumerate(keys)])
     return once.join(held, [F.col(k).eqNullSafe(F.col(f"__held_{i}")) for i, k in enumerate(keys)], "left_anti")
 
@@ -59,6 +68,26 @@ def overwrite_rows(df: DataFrame, path: str, partition_by: list[str] | None = No
     df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def overwrite_clustered(
+    df: DataFrame, path: str, cluster_by: list[str], partition_by: list[str] | None = None, row_group_bytes: int | None = None
+) -> None:
+    """Replace a table, its rows laid out by ranges of ``cluster_by`` within each partition and sorted in every file.
+
+    A file then spans few values of the first cluster column, and so do its row groups and pages: a pushed filter on
+    it skips nearly all of them by their bounds, and the bloom filters that are written for it skip the rest. A value with very many
+    rows fills as many files as it needs, told apart by the further cluster columns. Ranges come from a sample
+    of the rows, which reads them twice, so they are written first.
+    """
+    keys = [*(partition_by or []), *cluster_by]
+    ranged = land(df, "rows-to-cluster").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    writer = ranged.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{cluster_by[0]}", "true")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> None:
     """Create an empty typed table unless it exists; an existing one must have the same columns."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import feeds
 from ledgerloom import schemas
 from ledgerloom.plans import loads, reports
 from ledgerloom.session import new_path, shared_folder
@@ -202,3 +203,18 @@ def test_jdbc_options():
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_path(spark, "a") != new_path(spark, "a")
+
+
+def test_crosswalk_values_come_back_as_they_were(spark):
+    values = [None, "", " ", "  07501 ", "a,b", 'say "so"', "back\\slash", "two\nlines", "\tx"]
+    table = spark.createDataFrame([(v, f"{i}", *[v] * 5) for i, v in enumerate(values)], schemas.CROSSWALK)
+    path = feeds.write_headerless_csv(table, "crosswalk-values")
+    assert rows(readers.read_crosswalk(spark, path, feeds.NULL_VALUE, multiline=True)) == rows(table)
+    plain = feeds.write_headerless_csv(table.filter("CUST_ZIP is null or CUST_ZIP in ('', ' ')"), "crosswalk-blanks")
+    assert rows(readers.read_crosswalk(spark, plain, feeds.NULL_VALUE).select("CUST_ZIP")) == rows(spark.createDataFrame([(None,), ("",), (" ",)], "z string"))
+
+
+def test_with_the_default_null_value_empty_is_null_and_blank_is_not(spark, tmp_path):
+    path = tmp_path / "zips.csv"
+    path.write_text('"",NJ,a,b,201,E,Y\n,NJ,a,b,201,E,Y\n" ",NJ,a,b,201,E,Y\n 7501,NJ,a,b,201,E,Y\n')
+    assert [r["CUST_ZIP"] for r in readers.read_crosswalk(spark, str(path)).collect()] == [None, None, " ", " 7501"]
