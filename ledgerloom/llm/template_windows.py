@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.hotkeys import broadcast_if_at_most, null_safe_match
+from ledgerloom.operators.hotkeys import null_safe_match
 from ledgerloom.sources.writers import land
 
 WINDOW = 5
@@ -92,8 +92,9 @@ def _window_hashes(tokens: Column, window: int, lengths: list[int]) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """``item_id, item_pos, hash, types, slots, length, poor, n_windows, n_poor``: each window by its values and, with slots, by its types.
+    """``item_id, item_pos, hash, types, slots, anchor, length, poor, n_windows, n_poor``: each window by its values and, with slots, by its types.
 
+    ``anchor`` is its longest plain word (or value), with its place: a window of a document can only match where that word stands.
     ``types`` are its words or marks, ``slots`` the places of its slots and what the item has there; both are empty for a window by values.
     A window by types that has fewer than ``literals`` plain words is ``poor``: it is not searched for, only looked up beside others.
     An item shorter than a window is one window by values of its whole ``length``.
@@ -110,7 +111,11 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, literals: int
             F.transform("own", lambda t, k: F.struct(k.alias("place"), F.concat(f(t), _value(t)).alias("item_value"), f(t).alias("mark"))),
             lambda s: F.lit(slotted) & (s["mark"] < F.lit(FIRST)) & (F.col("length") == window),
         )
-        return F.struct(_hashed(_hashes(F.col("own"), f), F.lit(0), window).alias("hash"), (types if slotted else none).alias("types"), slots.alias("slots"))
+        plain = F.transform("own", lambda t, k: F.struct(F.length(f(t)).alias("size"), k.alias("place"), f(t).alias("word")))
+        anchor = F.array_max(F.filter(plain, lambda s: ~F.lit(slotted) | (s["word"] > F.lit(FIRST))))
+        return F.struct(
+            _hashed(_hashes(F.col("own"), f), F.lit(0), window).alias("hash"), (types if slotted else none).alias("types"), slots.alias("slots"), anchor.alias("anchor")
+        )
 
     read = placed.select("item_id", "item_pos", "length", F.explode(F.array_distinct(F.array(*[reading(f, f is not _value) for f in READINGS]))).alias("r"))
     told = read.select("item_id", "item_pos", "length", "r.*").filter((F.size("types") == 0) | (F.size("slots") > 0))
@@ -134,6 +139,36 @@ def _beside(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Dat
     return joined if how in ("left_semi", "left_anti") else joined.drop(*names)
 
 
+def _shared_windows(documents: DataFrame, searched: DataFrame, window: int) -> DataFrame:
+    """``doc_id, text_hash, doc_pos, hash`` of the windows of documents that are windows of ``searched``.
+
+    Tokens are looked up one by one among the anchors, and windows are hashed only around those that are found. A benchmark that is
+    not small enough to be broadcast is met by all windows of the documents in a shuffle instead; what is found is the same.
+    """
+    anchors = searched.select(F.xxhash64("anchor.word").alias("key"), F.col("anchor.place").alias("place"), "length").distinct()
+    of_hash = searched.groupBy("hash").agg(F.min("anchor.place").alias("at"), F.min("length").alias("n"))
+    texts = documents.select(*_identity(), template_tokens(F.col("text")).alias("tokens"))
+    if searched.limit(BROADCAST_WINDOWS + 1).count() > BROADCAST_WINDOWS:
+        # at most one length for each place of a window
+        lengths = sorted(r[0] for r in searched.filter(F.col("length") < window).select("length").distinct().collect())
+        hashes = _window_hashes(F.col("tokens"), window, lengths)
+        every = texts.select("doc_id", "text_hash", F.posexplode(hashes).alias("doc_pos", "hashes")).select("doc_id", "text_hash", "doc_pos", F.explode("hashes").alias("hash"))
+        return every.join(of_hash.select("hash"), "hash").select("doc_id", "text_hash", "doc_pos", "hash")
+    placed = texts.select("*", F.posexplode("tokens").alias("pos", "token")).withColumn("key", F.xxhash64(_value(F.col("token"))))
+    near = placed.join(F.broadcast(anchors), "key").withColumn("doc_pos", F.col("pos") - F.col("place"))
+    near = near.filter((F.col("doc_pos") >= 0) & (F.col("doc_pos") + F.col("length") <= F.size("tokens")))
+
+    def hashed(read: Callable[[Column], Column]) -> Column:
+        own = [F.get("tokens", F.col("doc_pos") + k) for k in range(window)]
+        return F.xxhash64(*[F.when(F.col("length") > k, F.xxhash64(read(t))) for k, t in enumerate(own)])
+
+    whole = F.col("length") == window
+    hashes = F.array_distinct(F.array(hashed(_value), *[F.when(whole, hashed(f)) for f in READINGS if f is not _value]))
+    told = near.select("doc_id", "text_hash", "doc_pos", "place", "length", F.explode(hashes).alias("hash"))
+    found = told.join(F.broadcast(of_hash), ["hash"]).filter((F.col("place") == F.col("at")) & (F.col("length") == F.col("n")))
+    return found.select("doc_id", "text_hash", "doc_pos", "hash")
+
+
 def leaked_items(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, text_hash, item_id, n_windows, n_matched, n_reworded`` of each benchmark item that a document holds.
 
@@ -144,13 +179,8 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, window: int = WINDO
     a null ``item_id`` or ``doc_id`` is an id like any other. Either table may be empty. Other columns are ignored.
     """
     items = land(benchmark_windows(benchmark, window), "benchmark-windows")
-    # at most one length for each place of a window
-    lengths = sorted(r[0] for r in items.filter(F.col("length") < window).select("length").distinct().collect())
     searched = items.filter(~F.col("poor"))
-    wanted = broadcast_if_at_most(searched.select("hash").distinct(), BROADCAST_WINDOWS)
-    hashes = _window_hashes(template_tokens(F.col("text")), window, lengths)
-    windows = documents.select(*_identity(), F.posexplode(hashes).alias("doc_pos", "hashes")).select("doc_id", "text_hash", "doc_pos", F.explode("hashes").alias("hash"))
-    found = land(windows.join(wanted, "hash"), "shared-windows")
+    found = land(_shared_windows(documents, searched, window), "shared-windows")
     hits = found.join(searched, "hash")
     places = hits.groupBy(*PAIR, "n_windows", "n_poor", "item_pos").agg(F.min(F.size("slots")).alias("least_slots"))
     own = F.col("least_slots") == 0
