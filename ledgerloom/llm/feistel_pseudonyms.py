@@ -168,11 +168,17 @@ class Pseudonyms:
                 continue
             usual = EARLY <= day <= LATE
             first, last = (EARLY, LATE) if usual else (1, datetime.date.max.toordinal())
-            valid = (lambda _: True) if usual else (lambda v: not EARLY <= v + 1 <= LATE)
+            own = datetime.date.fromordinal(day)
+
+            def valid(value: int, own: datetime.date = own, order: str = order, usual: bool = usual, first: int = first) -> bool:
+                """Dates that are read in the same order, and written with as many digits: among them the permutation is undone."""
+                other = datetime.date.fromordinal(first + value)
+                alike = (other.day < 10, other.month < 10) == (own.day < 10, own.month < 10)
+                return alike and (order != "mdy" or other.day > 12) and (usual or not EARLY <= value + 1 <= LATE)
+
             new = datetime.date.fromordinal(first + self._permuted("date", last - first + 1, day - first, valid))
             values = {"y": f"{new.year:04d}", "m": str(new.month), "d": str(new.day)}
-            padded = min(len(named["m"]), len(named["d"])) == 2 and (named["m"] + named["d"]).find("0") != -1 or len(a) == 4
-            return "date", mark.join(values[k].zfill(2) if padded or len(named[k]) == 2 else values[k] for k in order)
+            return "date", mark.join(values[k].zfill(len(named[k])) for k in order)
         return None
 
     def _ssn(self, text: str) -> tuple[str, str] | None:

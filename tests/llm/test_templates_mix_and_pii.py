@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import math
 import re
@@ -113,7 +114,19 @@ def test_permutation_is_one():
         p = pii.Permutation(b"key", "kind", size)
         image = [p.forth(v) for v in range(size)]
         assert sorted(image) == list(range(size)) and [p.back(v) for v in image] == list(range(size))
-    assert pii.Permutation(b"key", "a", 1000).forth(1) != pii.Permutation(b"other", "a", 1000).forth(1) or True
+    one, other = pii.Permutation(b"key", "a", 1000), pii.Permutation(b"other", "a", 1000)
+    assert [one.forth(v) for v in range(20)] != [other.forth(v) for v in range(20)]
+
+
+@pytest.mark.parametrize("form", ["{d:02d}/{m:02d}/{y}", "{d}/{m}/{y}", "{m:02d}-{d:02d}-{y}", "{m}-{d}-{y}", "{y}-{m:02d}-{d:02d}", "{y}.{m}.{d}"])
+def test_dates_of_eight_years_are_one_to_one_and_undone(form):
+    forth, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", back=True)
+    days = [datetime.date(2010, 1, 1) + datetime.timedelta(i) for i in range(8 * 365 + 2)]
+    texts = [form.format(d=day.day, m=day.month, y=day.year) for day in days]
+    images = [forth.replaced("date", t)[1] for t in texts]
+    assert len(set(images)) == len(set(texts)) and [len(i) for i in images] == [len(t) for t in texts]
+    assert [back.replaced("date", i)[1] for i in images] == texts
+    assert sum(a != b for a, b in zip(images, texts)) > len(texts) * 0.99
 
 
 TEXT = (
