@@ -81,3 +81,17 @@ def test_empty_files_have_no_records(spark, tmp_path):
     for name, text in (("a.json", ""), ("b.json", "[]"), ("c.json", "  \n"), ("d.json", "[ ]\n")):
         (tmp_path / name).write_text(text)
     assert large_json.read_large_json(spark, str(tmp_path), schema(spark)).count() == 0
+
+
+def test_records_that_end_with_their_range_are_cut_out_in_one_pass(spark, tmp_path, settings):
+    settings(**{"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "1"})
+    flat = [{"a": i, "b": 'a "quoted" \\ text'} for i in range(500)]
+    (tmp_path / "flat.json").write_text(json.dumps(flat, indent=1))
+    texts = large_json.json_record_texts(spark, str(tmp_path / "flat.json"))
+    assert sorted(json.loads(r.value)["a"] for r in texts.collect()) == list(range(500))
+    assert texts._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    for name, text in [("nested", json.dumps([{"a": {"x": i}, "b": "}{"} for i in range(500)])), ("broken", json.dumps(flat)[:-9])]:
+        (tmp_path / f"{name}.json").write_text(text)
+        texts = large_json.json_record_texts(spark, str(tmp_path / f"{name}.json"))
+        assert texts.count() == 500
+        assert texts._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 2
