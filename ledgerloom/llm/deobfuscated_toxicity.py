@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.textbytes import LOWER, SPACE, id_and_text, prefix_hashes, slices, span_hashes, words
+from ledgerloom.operators.hotkeys import broadcast_if_at_most
 from ledgerloom.sources.writers import land
 
 FOLDS = 3
-LABELLED_ROWS = 200_000
+BROADCAST_LABELS = 2_000_000
 MARKS = 5_000
 LEAST_DOCUMENTS = 4
 LEAST_WEIGHT = 1.5
@@ -221,20 +222,19 @@ def held_out(folds: int = FOLDS) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("long").cast("string")) % folds == 1, F.lit(False))
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, rows: int = LABELLED_ROWS) -> DataFrame:
-    """``doc_id, text, toxic`` of the labelled rows that may be learned from, at most about ``rows`` of them, drawn by hash.
+def training_rows(documents: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """``doc_id, text, toxic`` of every labelled row that may be learned from.
 
-    An id with several labels is toxic if any says so.
+    An id with several labels is toxic if any says so. Labels are broadcast if a count finds them few; otherwise the texts they belong
+    to are shuffled to them, once, and written, as they are read several times.
     """
     known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("__doc_id")).agg(
         F.max(F.col("toxic") == 1).alias("__toxic")
     )
-    known = known.filter(F.crc32(F.col("__doc_id").cast("string")) % folds != 1)
-    total = known.count()
-    if total > rows:
-        known = known.filter(F.pmod(F.xxhash64("__doc_id"), F.lit(1_000_000)) < F.lit(1_000_000 * rows // total))
-    marked = id_and_text(documents).join(F.broadcast(land(known, "toxic-labels")), F.col("doc_id") == F.col("__doc_id"))
-    return marked.select("doc_id", "text", F.col("__toxic").alias("toxic"))
+    known = land(known.filter(F.crc32(F.col("__doc_id").cast("string")) % folds != 1), "toxic-labels")
+    side = broadcast_if_at_most(known, BROADCAST_LABELS)
+    marked = id_and_text(documents).join(side, F.col("doc_id") == F.col("__doc_id")).select("doc_id", "text", F.col("__toxic").alias("toxic"))
+    return land(marked, "labelled-texts") if side is known else marked
 
 
 def fit_characters(rows: DataFrame) -> np.ndarray:
@@ -325,15 +325,15 @@ def fit_scores(weighed: DataFrame) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, threshold: float = THRESHOLD, rows: int = LABELLED_ROWS) -> DataFrame:
+def toxicity(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``documents``: ``doc_id, held_out, score, predicted, evidence``.
 
-    Only the text is scored. Labels are learned from at most ``rows`` labelled documents outside the held-out fold. Null and empty
+    Only the text is scored. Labels are learned from every labelled document outside the held-out fold. Null and empty
     texts have no evidence and get the lowest score; a null id is scored but never learned from; repeated rows get
     equal scores. Without labels of both kinds every text gets the share of toxic labels. An empty table gives an empty
     result; other columns are ignored.
     """
-    training = training_rows(documents, labels, folds, rows)
+    training = training_rows(documents, labels, folds)
     costs = fit_characters(training)
     keys, weights = fit_marks(training, costs)
     intercept, slope = fit_scores(training.select("toxic", weigh(costs, keys, weights).alias("evidence")))
