@@ -338,9 +338,12 @@ def simhash_components(
 def without_near_copies(documents: DataFrame, **options: float) -> DataFrame:
     """``documents``, all columns, with one row of each component: the one with the smallest id.
 
-    Components are those of ``similar_sets``: links are shingle similarities of 0.8 or more, each verified.
+    Texts whose fingerprints link, compared bit-sliced as everywhere here, and texts that share a band of min-hashes are candidates; an exact
+    check follows: links are shingle similarities of 0.8 or more, each verified (``similar_sets``). Fingerprints within the radius
+    miss most pairs near 0.8, whose fingerprints differ in ten bits or so: these the bands add.
     """
-    found = land(similar_components(documents, **options), "components")
+    linked = land(simhash_components(documents).filter("component_rows > 1"), "linked-fingerprints")
+    found = land(similar_components(documents, groups=linked, **options), "components")
     several = found.filter("component_rows > 1")
     first = several.filter("doc_id <=> component_id").groupBy("component_id").agg(F.min("row").alias("__first"), F.max("component_rows").alias("__n"))
     chosen = attach_by_key(several, first, ["component_id"], ["__first"], "__n")
