@@ -67,28 +67,24 @@ def _hashed(tokens: Column, start: Column, window: int) -> Column:
     return F.xxhash64(*[F.get(tokens, start + k) for k in range(window)])
 
 
-def _window_hashes(tokens: Column, window: int, lengths: list[int]) -> Column:
-    """Of each position, the hashes of its window by values and by types, and by values of its shorter windows of ``lengths``.
+def _document_windows(documents: DataFrame, window: int, lengths: list[int]) -> DataFrame:
+    """``doc_id, text_hash, doc_pos, hash``: of each position, the different hashes of its window by values and by types, and by values of
+    its shorter windows of ``lengths``.
 
-    The arrays are bound to a name first, so that they are built once and not for each window.
+    Words are hashed once, in arrays; positions become rows before their windows are hashed, so that this is compiled code and not a
+    lambda. A window without slots reads alike in all ways and gives one row.
     """
-
-    def windows(read: Column) -> Column:
-        values, *types = (read[f"r{i}"] for i in range(len(READINGS)))
-        last = F.size(values) - (min(lengths) if lengths else window)
-        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-
-        def hashes(i: Column) -> Column:
-            shorter = [_hashed(values, i, n) for n in lengths]
-            return F.array_distinct(F.array(*[_hashed(v, i, window) for v in (values, *types)], *shorter))
-
-        return F.transform(starts, hashes)
-
-    def read(own: Column) -> Column:
-        return F.struct(*[_hashes(own, f).alias(f"r{i}") for i, f in enumerate(READINGS)])
-
-    bound = F.transform(F.array(tokens), read)
-    return F.get(F.transform(bound, windows), 0)
+    tokens = documents.select(*_identity(), template_tokens(F.col("text")).alias("tokens"))
+    names = [f"r{i}" for i in range(len(READINGS))]
+    read = tokens.select("doc_id", "text_hash", *[_hashes(F.col("tokens"), f).alias(n) for f, n in zip(READINGS, names)])
+    last = F.size("r0") - (min(lengths) if lengths else window)
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    placed = read.select("doc_id", "text_hash", *names, F.explode(starts).alias("doc_pos"))
+    hashed = placed.select("doc_id", "text_hash", "doc_pos", *[_hashed(F.col(n), F.col("doc_pos"), window).alias(f"h{n}") for n in names], *[_hashed(F.col("r0"), F.col("doc_pos"), n).alias(f"short{n}") for n in lengths])
+    several = F.array_distinct(F.array(*[f"h{n}" for n in names], *[f"short{n}" for n in lengths]))
+    alike = (F.col("hr1") == F.col("hr0")) & (F.col("hr2") == F.col("hr0"))
+    told = several if lengths else F.when(alike, F.array("hr0")).otherwise(several)
+    return hashed.select("doc_id", "text_hash", "doc_pos", F.explode(told).alias("hash"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
@@ -148,9 +144,7 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, window: int = WINDO
     lengths = sorted(r[0] for r in items.filter(F.col("length") < window).select("length").distinct().collect())
     searched = items.filter(~F.col("poor"))
     wanted = broadcast_if_at_most(searched.select("hash").distinct(), BROADCAST_WINDOWS)
-    hashes = _window_hashes(template_tokens(F.col("text")), window, lengths)
-    windows = documents.select(*_identity(), F.posexplode(hashes).alias("doc_pos", "hashes")).select("doc_id", "text_hash", "doc_pos", F.explode("hashes").alias("hash"))
-    found = land(windows.join(wanted, "hash"), "shared-windows")
+    found = land(_document_windows(documents, window, lengths).join(wanted, "hash"), "shared-windows")
     hits = found.join(searched, "hash")
     places = hits.groupBy(*PAIR, "n_windows", "n_poor", "item_pos").agg(F.min(F.size("slots")).alias("least_slots"))
     own = F.col("least_slots") == 0

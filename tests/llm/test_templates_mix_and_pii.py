@@ -109,6 +109,18 @@ def test_leaks_against_brute_force(given):
     assert want and want <= got and len(got) <= len(want) + 2
 
 
+def test_document_windows_are_hashed_once_where_readings_agree(documents, spark):
+    table = documents((1, "one two three four five six"), (2, "we met Ann at 5 here now"), (3, None), (4, "two words"))
+    count = lambda lengths: {(r.doc_id, r.doc_pos): r["count"] for r in templates._document_windows(table, 5, lengths).groupBy("doc_id", "doc_pos").count().collect()}
+    assert count([]) == {(1, 0): 1, (1, 1): 1, **{(2, i): 2 for i in range(3)}}
+    item = spark.createDataFrame([(1, "one two three four five"), (2, "two words")], "item_id long, text string")
+    asked = templates.benchmark_windows(item).select("item_id", "hash")
+    shared = templates._document_windows(table, 5, [2]).join(asked, "hash")
+    assert {(r.doc_id, r.doc_pos, r.item_id) for r in shared.collect()} == {(1, 0, 1), (4, 0, 2)}
+    plan = templates._document_windows(table, 5, [])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") == len(templates.READINGS)
+
+
 def test_permutation_is_one():
     for size in (1, 2, 10, 1000, 73_049):
         p = pii.Permutation(b"key", "kind", size)
