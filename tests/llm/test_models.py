@@ -13,7 +13,8 @@ import pytest
 from ledgerloom.llm import deobfuscated_toxicity as tox
 from ledgerloom.llm import importance_resampling as resampling
 from ledgerloom.llm import katz_backoff as katz
-from tests.llm.conftest import ODD
+from ledgerloom.llm import queries
+from tests.llm.conftest import ODD, SF_DIR
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 END, START = "\0end", "\0start"
@@ -83,6 +84,77 @@ def test_katz_model_table_is_normalised(given):
     assert all(0 < r["sum(probability)"] < 1 and r["max(backoff)"] > 0 for r in per_context)
 
 
+def brute_triples(pairs):
+    """Scores by triples, backed off to pairs, backed off to words, straight from the definition."""
+    held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in pairs]
+    texts = [[*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), END] for _, t in pairs]
+    words, after = Counter(), {2: defaultdict(Counter), 3: defaultdict(Counter)}
+    for h, w in zip(held, texts):
+        if not h:
+            words.update(w)
+            for a, b, c in zip([START, START, *w], [START, *w], w):
+                after[2][b,][c] += 1
+                after[3][a, b][c] += 1
+    factors = {n: katz.discounts(np.bincount([k for c in own.values() for k in c.values()] or [0], minlength=8)[:7].astype(float)) for n, own in after.items()}
+    code = lambda n: int(katz.count_code(np.array([n]))[0])
+    unigrams = katz.unigram_model(Counter(code(n) for n in words.values()))
+    models = {}
+
+    def model(context):
+        if context not in models:
+            own = after[len(context) + 1][context]
+            kept = {w: n * factors[len(context) + 1][n] if n <= 5 else n for w, n in own.items()}
+            free = sum(own.values()) - sum(kept.values())
+            free = 0.5 if free < 1e-9 else free
+            whole = sum(kept.values()) + free
+            rest = 1 - sum(p(w, context[1:]) for w in kept)
+            models[context] = ({w: k / whole for w, k in kept.items()}, free / whole / rest) if own else ({}, 1.0)
+        return models[context]
+
+    def p(word, context):
+        if not context:
+            return unigrams[code(words[word])]
+        seen, weight = model(context)
+        return seen[word] if word in seen else weight * p(word, context[1:])
+
+    scores = sorted(
+        (str(i), round(sum(math.log10(p(c, (a, b))) for a, b, c in zip([START, START, *w], [START, *w], w)), 4)) for (i, _), w in zip(pairs, texts)
+    )
+    for context in [c for c in list(models) if len(c) == 2][:10]:
+        assert math.isclose(p("a word that no text has", context) + sum(p(w, context) for w in words), 1, rel_tol=1e-9)
+    return scores
+
+
+def test_katz_triples_against_brute_force(given, odd, none, monkeypatch):
+    of = lambda table, **options: sorted((str(r.doc_id), round(r.score, 4)) for r in katz.katz_scores(table, order=3, **options).collect())
+    want = brute_triples([(r.doc_id, r.text) for r in given("documents").collect()])
+    assert of(given("documents")) == want
+    assert of(given("documents"), batch_tokens=5_000, bucket_tokens=3_000) == want
+    monkeypatch.setattr(katz, "BROADCAST_BYTES", 0)
+    assert of(given("documents"), batch_tokens=5_000, bucket_tokens=9_000) == want
+    assert of(odd) == brute_triples(ODD)
+    assert katz.katz_scores(none, order=3).count() == 0
+    query = sorted((str(r.doc_id), round(r.score, 4)) for r in queries.op3_katz_backoff(given("documents").sparkSession, SF_DIR).collect())
+    assert query == want
+
+
+def test_katz_tables_by_order_back_off_and_sum_to_one(given, spark, tmp_path):
+    batches = katz.land(katz.token_batches(given("documents").limit(100)), "b")
+    answers = katz.land(katz.word_answers(katz.word_requests(batches, 3)), "w")
+    factors = np.array([katz.discounts(np.array([0, 50.0, 20, 10, 5, 3, 2])), katz.discounts(np.array([0, 90.0, 20, 8, 4, 2, 1]))])
+    unigrams = katz.unigram_model({1: 50, 2: 10, 7: 1, 0: 3})
+    cells = katz.pair_cells(katz._answered(batches, answers), 3, order=3)
+    katz.model_table(cells, factors, unigrams).write.partitionBy("order", "bucket").parquet(str(tmp_path / "model"))
+    rows = spark.read.parquet(str(tmp_path / "model")).collect()
+    pairs, triples = ({(r.bucket, r.before, r.context, r.word): r for r in rows if r.order == n} for n in (2, 3))
+    assert sum(r["count"] for r in pairs.values()) == sum(r["count"] for r in triples.values()) > 0
+    seen = defaultdict(list)
+    for (bucket, before, context, word), r in triples.items():
+        seen[bucket, before, context].append((r, pairs[bucket, 0, context, word].probability))
+    for own in seen.values():
+        assert math.isclose(sum(r.probability for r, _ in own) + own[0][0].backoff * (1 - sum(lower for _, lower in own)), 1, rel_tol=1e-9)
+
+
 def test_discounts_and_codes():
     factors = katz.discounts(np.array([0, 1000, 300, 140, 80, 50, 35.0]))
     assert factors[0] == 1 and ((factors[1:] > 0) & (factors[1:] < 1)).all()
