@@ -155,6 +155,20 @@ def test_katz_tables_by_order_back_off_and_sum_to_one(given, spark, tmp_path):
         assert math.isclose(sum(r.probability for r, _ in own) + own[0][0].backoff * (1 - sum(lower for _, lower in own)), 1, rel_tol=1e-9)
 
 
+def test_katz_answers_beyond_a_few_megabytes_are_shuffled(spark, settings):
+    settings(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    batches = spark.createDataFrame([(b, [b], bytes(2)) for b in range(3)], "batch long, doc_ids array<long>, vocabulary binary")
+    answer = lambda kilobytes: katz.land(
+        spark.createDataFrame([(k, b, bytes(kilobytes << 10), bytes(9)) for k in (1, 0) for b in range(3)], "bucket int, batch long, counts binary, ranks binary"), "w"
+    )
+    small, large = katz._answered(batches, answer(1)), katz._answered(batches, answer(2000))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
+    assert ["BroadcastExchange" in p for p in plans] == [True, False]
+    for df, kilobytes in ((small, 1), (large, 2000)):
+        rows = sorted((r.batch, r.doc_ids, [(a.bucket, len(a.counts), len(a.ranks)) for a in r.answers]) for r in df.collect())
+        assert rows == [(b, [b], [(0, kilobytes << 10, 9), (1, kilobytes << 10, 9)]) for b in range(3)]
+
+
 def test_discounts_and_codes():
     factors = katz.discounts(np.array([0, 1000, 300, 140, 80, 50, 35.0]))
     assert factors[0] == 1 and ((factors[1:] > 0) & (factors[1:] < 1)).all()
