@@ -169,6 +169,19 @@ def test_katz_answers_beyond_a_few_megabytes_are_shuffled(spark, settings):
         assert rows == [(b, [b], [(0, kilobytes << 10, 9), (1, kilobytes << 10, 9)]) for b in range(3)]
 
 
+def test_katz_cells_hold_the_code_of_a_follower_once(documents):
+    batches = katz.land(katz.token_batches(documents((2, "a b c b c a c b c"), (4, "x b c y b c"))), "b")
+    answers = katz.land(katz.word_answers(katz.word_requests(batches, 1)), "w")
+    cells = [r.asDict() for r in katz.pair_cells(katz._answered(batches, answers), 1, order=3).collect()]
+    for cell in cells:
+        words = katz._unpack_runs(cell["words"], katz._unpack(cell["followers"], np.uint32).astype(np.int64))
+        assert len(katz._unpack(cell["codes"], np.uint16)) == len(set(words.tolist())) < len(words)
+    bucket = katz.Bucket(cells)
+    code = dict(zip(bucket.word.tolist(), bucket.code.tolist()))
+    # c six times, b five, a and the end two, x and y once
+    assert len(code) == 6 and sorted(code.values()) == [1, 1, 2, 2, 5, 6]
+
+
 def test_discounts_and_codes():
     factors = katz.discounts(np.array([0, 1000, 300, 140, 80, 50, 35.0]))
     assert factors[0] == 1 and ((factors[1:] > 0) & (factors[1:] < 1)).all()
