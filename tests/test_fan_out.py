@@ -5,7 +5,7 @@ from __future__ import annotations
 from checks import queries_joins, queries_reports
 from checks.registry import QUERIES
 from ledgerloom.operators import dedup, joins, profile
-from tests.helpers import rows
+from tests.helpers import final_plan, rows
 
 CUSTOMER = "CREDIT_CARD_NO string, SSN long, CUST_ZIP string"
 CROSSWALK = "CUST_ZIP string, CUST_STATE string, CUST_CITY string, CUST_COUNTY string, AREA_CODE string, TIME_ZONE string, DST string"
@@ -61,3 +61,24 @@ def test_no_query_but_the_product_itself_reads_it(spark, monkeypatch):
     assert queries_joins.deduplicated(d).count() == 1
     assert dedup.duplicate_values(queries_reports.match_counts(d), "CREDIT_CARD_NO", copies="matches").first()[1] == 10_000
     assert {"dedup_by_key", "agg_distinct_rows", "agg_duplicate_cards"} <= QUERIES.keys()
+
+
+def test_copies_come_in_blocks_of_any_sum(spark, monkeypatch):
+    """Every number of copies is the sum of its blocks, and who meets none of them still comes once."""
+    wanted = [1, 2, 7, 8, 9, 10, 64, 65, 72, 73, 511, 512, 513, 584, 1025, 5000]
+    zips = [(f"{20000 + n}", "NY", f"c{k}", None, None, "5", "Y") for n in wanted for k in (0, 1) for _ in range(n + k)]
+    customers = [("1", n, f"{20000 + n}") for n in wanted] + [("2", 0, "501"), ("3", 0, None), ("4", 0, " ")]
+    for most in (joins.ROWS_A_TASK, 500):
+        monkeypatch.setattr(joins, "ROWS_A_TASK", most)
+        product = joins.with_crosswalk_rows(spark.createDataFrame(customers, CUSTOMER), spark.createDataFrame(zips, CROSSWALK))
+        found = {(r.SSN, r.right_CUST_CITY): r["count"] for r in product.groupBy("SSN", "right_CUST_CITY").count().collect()}
+        assert found == {(n, f"c{k}"): n + k for n in wanted for k in (0, 1)} | {(0, None): 3}
+
+
+def test_finished_rows_are_repeated_behind_the_join(spark):
+    """An explode above the join would build each of the equal rows from its columns again."""
+    for build, n in ((queries_joins.fan_out, 600 * (9 + 1 + 3) + 3), (queries_joins.duplicates_with_rows, 600 * (9 + 1))):
+        product = build(Data(spark, CUSTOMERS, ZIPS * 600))
+        plan = final_plan(product)
+        assert "CartesianProduct" in plan and "Generate" not in plan
+        assert product.count() == n
