@@ -339,8 +339,8 @@ def without_near_copies(documents: DataFrame, **options: float) -> DataFrame:
     """``documents``, all columns, with one row of each component: the one with the smallest id.
 
     Texts whose fingerprints link, compared bit-sliced as everywhere here, and texts that share a band of min-hashes are candidates; an exact
-    check follows: links are shingle similarities of 0.8 or more, each verified (``similar_sets``). Fingerprints within the radius
-    miss most pairs near 0.8, whose fingerprints differ in ten bits or so: these the bands add.
+    check follows: links are shingle similarities of 0.8, or the given ``similarity``, or more, each verified (``similar_sets``). Fingerprints within
+    the radius miss most pairs near 0.8, whose fingerprints differ in ten bits or so, and all that are further apart: these the bands add.
     """
     linked = land(simhash_components(documents).filter("component_rows > 1"), "linked-fingerprints")
     found = land(similar_components(documents, groups=linked, **options), "components")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerloom.llm import bit_sliced_simhash as simhash
 from ledgerloom.llm import deobfuscated_toxicity as tox
 from ledgerloom.llm import similar_sets
@@ -42,3 +44,43 @@ def test_all_labels_are_learned_from(documents, spark, monkeypatch):
     for few in (2_000_000, 10):
         monkeypatch.setattr(tox, "BROADCAST_LABELS", few)
         assert {(r.doc_id, r.text, r.toxic) for r in tox.training_rows(frame, labels).collect()} == want
+
+
+def edited(draw, words, every):
+    """The words with one of each ``every`` changed."""
+    changed = list(words)
+    for first in range(0, len(words), every):
+        changed[min(len(words) - 1, first + draw.randrange(every))] = f"x{draw.randrange(10**6)}"
+    return changed
+
+
+def test_pipeline_drops_copies_with_changed_words(documents, spark):
+    """One word in twenty changed leaves 0.6 of the shingles: below 0.8, and no text of its own."""
+    draw, pairs = random.Random(11), []
+    for i in range(30):
+        words = [f"w{draw.randrange(5000)}" for _ in range(draw.randrange(60, 400))]
+        pairs += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(edited(draw, words, 20))), (10 * i + 2, " ".join(edited(draw, words, 15)))]
+    others = [(1000 + i, " ".join(f"w{draw.randrange(5000)}" for _ in range(100))) for i in range(30)]
+    left = corpus_pipeline.near_duplicates(spark, documents(*pairs, *others), "").collect()
+    assert sorted(r.doc_id for r in left) == [10 * i for i in range(30)] + [i for i, _ in others]
+
+
+def test_edited_copies_against_brute_force(documents):
+    """All links at 0.4 or more and no other, though texts with a passage in common make one coarse group; in parts of any size."""
+    draw, texts = random.Random(12), []
+    passage = [f"p{k}" for k in range(12)]
+    for _ in range(60):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(draw.randrange(15, 40))]
+        texts += [" ".join([*passage, *words]), " ".join(edited(draw, [*passage, *words], draw.randrange(6, 30)))]
+    sets = [similar_sets.shingle_set(t.encode()) for t in texts]
+    parent = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if both >= 0.4 * (len(sets[i]) + len(sets[j]) - both) and parent[i] != parent[j]:
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    for cell_shingles in (1 << 20, 500):
+        rows = similar_sets.similar_components(documents(*enumerate(texts)), 0.4, cell_shingles).collect()
+        assert [r.component_id for r in sorted(rows, key=lambda r: r.doc_id)] == parent
+    assert 1 < len(set(parent)) < len(texts)
